@@ -13,18 +13,16 @@ HOT_SHARE = 0.01
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """The values of `key` that hold at least `share` of the rows, so at most 1 / share of them.
 
-    A bounded summary of one column names the candidates without a shuffle; a second scan of that
-    column counts just those.
+    A bounded summary of one column names the candidates without a shuffle of the rows; a second
+    scan of that column counts just those.
     """
     keys = df.select(key).where(F.col(key).isNotNull())
     frequent = keys.freqItems([key], share).first()
     if not frequent or not frequent[0]:
         return []
-    counts = keys.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(key) == v).alias(f"v{i}") for i, v in enumerate(frequent[0])],
-    ).first()
-    return sorted(v for i, v in enumerate(frequent[0]) if counts[f"v{i}"] >= share * counts["n"])
+    counts = keys.groupBy(F.when(F.col(key).isin(frequent[0]), F.col(key)).alias("k")).count().collect()
+    total = sum(r["count"] for r in counts)
+    return sorted(r["k"] for r in counts if r["k"] is not None and r["count"] >= share * total)
 
 
 def lookup_join(

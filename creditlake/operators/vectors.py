@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 MAX_QUERIES_PER_TASK = 2_048
 ROWS_PER_BLOCK = 50_000
 SCORE_DIGITS = 9
+SCORES_AT_ONCE = 2_000_000
 
 
 def unit(v: Column) -> Column:
@@ -42,6 +43,11 @@ class _Best:
         self.kept: list[list[tuple]] = [[] for _ in range(len(queries))]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(SCORES_AT_ONCE // len(self.queries), 1)
+        for start in range(0, len(ids), step):
+            self._add(ids[start : start + step], vectors[start : start + step])
+
+    def _add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         scores = np.round(self.queries @ _unit_rows(vectors).T, SCORE_DIGITS)
         for q, row in enumerate(scores):
             if len(row) > self.k:

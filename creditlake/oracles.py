@@ -493,9 +493,9 @@ FROM (SELECT CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTA
         f""", a AS (SELECT {', '.join(CLIENT_COLUMNS)} FROM (SELECT *, row_number() OVER (PARTITION BY cliente_id ORDER BY credito_id) AS rn
   FROM scored_bi) WHERE rn = 1),
 t AS (SELECT cliente_id, COUNT(credito_id) AS creditos_total, CAST(SUM(es_moroso) AS BIGINT) AS creditos_morosos,
-  ROUND(SUM(monto_credito), 6) AS monto_total_credito, ROUND(AVG(monto_credito), 6) AS monto_promedio_credito,
-  ROUND(AVG(probabilidad_mora), 6) AS probabilidad_mora_promedio, MAX(probabilidad_mora) AS probabilidad_mora_max,
-  MAX(fecha_desembolso) AS ultima_fecha_desembolso, ROUND(SUM(es_moroso) / COUNT(credito_id), 6) AS tasa_mora_cliente
+  ROUND(SUM(monto_credito), 8) AS monto_total_credito, ROUND(AVG(monto_credito), 8) AS monto_promedio_credito,
+  ROUND(AVG(probabilidad_mora), 8) AS probabilidad_mora_promedio, MAX(probabilidad_mora) AS probabilidad_mora_max,
+  MAX(fecha_desembolso) AS ultima_fecha_desembolso, ROUND(SUM(es_moroso) / COUNT(credito_id), 8) AS tasa_mora_cliente
   FROM scored GROUP BY cliente_id)
 SELECT * FROM a LEFT JOIN t USING (cliente_id)""",
     ).replace(")\n, a AS", "),\na AS"),

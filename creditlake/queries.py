@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import adapters
 from .adapters import CUTOFF, TEST_SETTINGS, sources, table, with_stand_in_score
 from .functions import dates, numbers, text
-from .operators import chunks, clean, dedupe, metrics, prior_events, profile, quality, ranks, reports, vectors
+from .operators import chunks, clean, dedupe, metrics, prior_events, profile, quality, ranks, reports, skew, vectors
 from .operators.target import default_label
 from .plans import abt as abt_plan
 from .plans import knowledge, model, refresh, star
@@ -57,6 +57,12 @@ def _labelled(spark, sf_dir) -> DataFrame:
     )
 
 
+def _loans_with_clients(spark, sf_dir) -> DataFrame:
+    s = sources(spark, sf_dir)
+    hot = skew.hot_keys(s["creditos"], "cliente_id")
+    return skew.lookup_join(s["creditos"], s["clientes"], ["cliente_id"], "cliente_id", hot, "inner")
+
+
 def _scored(spark, sf_dir) -> DataFrame:
     return with_stand_in_score(_labelled(spark, sf_dir))
 
@@ -230,8 +236,7 @@ def v_clientes_bi(spark, sf_dir):
 
 @query
 def bi_income_fields(spark, sf_dir):
-    s = sources(spark, sf_dir)
-    rows = s["creditos"].join(s["clientes"], "cliente_id")
+    rows = _loans_with_clients(spark, sf_dir)
     return star.with_bi_income(rows).select(
         "credito_id", "ingreso_mensual_estimado", "estrato", "ingreso_mensual_bi", "flag_ingreso"
     )
@@ -495,7 +500,7 @@ def dim_tiempo(spark, sf_dir):
 def perfil_cliente(spark, sf_dir):
     profile_rows = star.perfil_cliente(star.with_bi_income(stage(_scored(spark, sf_dir), "scored")))
     means = ("monto_total_credito", "monto_promedio_credito", "probabilidad_mora_promedio", "tasa_mora_cliente")
-    return profile_rows.withColumns({c: F.round(c, 6) for c in means})
+    return profile_rows.withColumns({c: F.round(c, 8) for c in means})
 
 
 # --- model -------------------------------------------------------------------------------------
@@ -586,8 +591,7 @@ APPLICATION_FIELDS = (
 
 def _applications(spark, sf_dir) -> DataFrame:
     """One application per loan, with only the fields an applicant states."""
-    s = sources(spark, sf_dir)
-    return s["creditos"].join(s["clientes"], "cliente_id").select("credito_id", *APPLICATION_FIELDS)
+    return _loans_with_clients(spark, sf_dir).select("credito_id", *APPLICATION_FIELDS)
 
 
 @query
