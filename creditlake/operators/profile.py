@@ -45,7 +45,8 @@ def histogram(df: DataFrame, columns: Mapping[str, tuple[Column, int]]) -> DataF
         if lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
         position = F.floor((values[name] - lo) * bins / F.lit(hi - lo))
-        hits.append(F.struct(F.lit(name).alias("variable"), F.least(position, F.lit(bins - 1)).alias("bin")))
+        top_edge_last = F.when(position >= bins, bins - 1).otherwise(position)
+        hits.append(F.struct(F.lit(name).alias("variable"), top_edge_last.alias("bin")))
         empty += [(name, b, lo + b * (hi - lo) / bins, lo + (b + 1) * (hi - lo) / bins) for b in range(bins)]
     counts = (
         df.select(F.inline(F.array(*hits))).where("bin IS NOT NULL").groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))

@@ -82,7 +82,16 @@ def _bracket(rank: int, n: int, grid_values: Sequence) -> tuple:
     share, slack = rank / n, 2 / ACCURACY + 1 / n
     lo = max(math.floor((share - slack) * GRID) - 1, 0)
     hi = min(math.ceil((share + slack) * GRID) + 1, GRID)
-    return grid_values[lo], grid_values[hi], (hi - lo) / GRID + 2 * slack
+    return _outwards(grid_values[lo], -1), _outwards(grid_values[hi], 1), (hi - lo) / GRID + 2 * slack
+
+
+def _outwards(value, direction: int):
+    """The sketch works in double: step over what that may have rounded off a longer number."""
+    if isinstance(value, int) and abs(value) >= 2**53:
+        return max(min(value + direction * (abs(value) // 2**52 + 1), 2**63 - 1), -(2**63))
+    if isinstance(value, Decimal) and len(value.as_tuple().digits) > 15:
+        return value + direction * abs(value) / 2**52
+    return value
 
 
 def _look_up(df, columns, to_python, spans, found) -> None:

@@ -37,6 +37,14 @@ def test_order_statistics_are_exact(spark, name, limit):
     assert found == {r: values[r] for r in wanted}
 
 
+@pytest.mark.parametrize("limit", [ranks.MAX_VALUES_ON_DRIVER, 20])
+def test_order_statistics_of_64_bit_hashes(spark, limit):
+    df = spark.range(2000).select(F.xxhash64("id").alias("x"))
+    values = sorted(r[0] for r in df.collect())
+    wanted = [0, 1, 400, 999, 1999]
+    assert ranks.order_statistics(df, {"x": F.col("x")}, {"x": lambda n: wanted}, limit)["x"][1] == {r: values[r] for r in wanted}
+
+
 def test_quantiles_match_numpy(spark):
     df = frame(spark, SAMPLES["random"]).withColumn("y", F.col("x") * 3 + 1)
     got = ranks.exact_quantiles(df, {"x": F.col("x"), "y": F.col("y")}, [0.25, 0.5, 0.99])
