@@ -44,7 +44,7 @@ def fk_orphans(tables: Mapping[str, DataFrame], foreign_keys=FOREIGN_KEYS) -> Da
             tables[child]
             .groupBy(F.col(fk).alias("k"))
             .count()
-            .join(tables[parent].select(F.col(pk).alias("k")), "k", "left_anti")
+            .join(tables[parent].select(F.col(pk).alias("k")).distinct(), "k", "left_anti")
             .agg(
                 F.lit(child).alias("tabla"),
                 F.lit(fk).alias("clave"),

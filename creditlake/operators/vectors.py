@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ MAX_QUERIES_PER_TASK = 2_048
 ROWS_PER_BLOCK = 50_000
 SCORE_DIGITS = 9
 SCORES_AT_ONCE = 2_000_000
+MAX_BROADCAST_BYTES = 64 * 2**20
 
 
 def unit(v: Column) -> Column:
@@ -76,7 +77,7 @@ def knn_exact(
 
     Tasks multiply their rows with all queries and keep k rows per query, so k rows per query and
     partition reach the shuffle. The queries travel to the tasks only up to `max_queries`; more are
-    cut into blocks that meet blocks of the corpus in a co-group.
+    cut into blocks that meet blocks of the corpus in a co-group. Ids must be unique.
     """
     id_type, query_type = dict(corpus.dtypes)[id_col], dict(queries.dtypes)[query_col]
     out_schema = f"{query_col} {_wide(query_type)}, {id_col} {_wide(id_type)}, score double"
@@ -158,23 +159,43 @@ def knn_approx(
     tables: int = 8,
     seed: int = 42,
 ) -> DataFrame:
-    """As `knn_exact`, but only compares rows that share a random-projection bucket with the query."""
+    """As `knn_exact`, but only scores rows that share a random-projection bucket with the query.
+
+    The hashed queries are broadcast up to MAX_BROADCAST_BYTES, so corpus rows are hashed, matched
+    and scored where they are read and only k rows per query and partition are shuffled. A pair
+    that meets in several buckets counts in the first of them.
+    """
     lsh = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
+        inputCol="_vector", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
     )
 
-    def prepared(df: DataFrame, key: str) -> DataFrame:
-        return df.where(F.col(vector).isNotNull()).select(key, array_to_vector(unit(F.col(vector))).alias("_unit"))
-
-    rows, asked = prepared(corpus, id_col), prepared(queries, query_col)
-    pairs = lsh.fit(rows).approxSimilarityJoin(asked, rows, 2.0, "_distance")
+    def prepared(df: DataFrame, key: str, name: str) -> DataFrame:
+        units = df.where(F.col(vector).isNotNull()).select(F.col(key).alias(name), unit(F.col(vector)).alias("_unit"))
+        return units.withColumn("_vector", array_to_vector("_unit"))
+
+    rows, asked = prepared(corpus, id_col, "_id"), prepared(queries, query_col, "_query")
+    sized = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_unit")).alias("d")).first()
+    if not sized["n"]:
+        return knn_exact(corpus, queries, k, id_col, query_col, vector)
+    hashing = lsh.fit(rows)
+
+    def hashed(df: DataFrame, prefix: str) -> DataFrame:
+        buckets = F.transform("_hashes", lambda h: F.get(vector_to_array(h), F.lit(0)))
+        with_buckets = hashing.transform(df).withColumn("_buckets", buckets).drop("_vector", "_hashes")
+        exploded = with_buckets.select("*", F.posexplode("_buckets").alias("_table", "_bucket"))
+        return exploded.withColumnsRenamed({"_unit": f"{prefix}_unit", "_buckets": f"{prefix}_buckets"})
+
+    left = hashed(asked, "q")
+    if sized["n"] * sized["d"] * 8 * tables <= MAX_BROADCAST_BYTES:
+        left = F.broadcast(left)
+    meets = F.zip_with("q_buckets", "r_buckets", lambda a, b: a == b)
+    dot = F.aggregate(F.zip_with("q_unit", "r_unit", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
     w = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
     return (
-        pairs.select(
-            F.col(f"datasetA.{query_col}").alias(query_col),
-            F.col(f"datasetB.{id_col}").alias(id_col),
-            F.round(1 - F.col("_distance") * F.col("_distance") / 2, SCORE_DIGITS).alias("score"),
-        )
+        hashed(rows, "r")
+        .join(left, ["_table", "_bucket"])
+        .where(F.array_position(meets, True) == F.col("_table") + 1)
+        .select(F.col("_query").alias(query_col), F.col("_id").alias(id_col), F.round(dot, SCORE_DIGITS).alias("score"))
         .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
     )
