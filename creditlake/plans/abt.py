@@ -103,7 +103,11 @@ def abt_sql(sources: dict[str, DataFrame], settings: Settings = Settings()) -> D
     return abt.select([c for c in SQL_COLUMNS if c in abt.columns])
 
 
-def create_abt_table(spark, sources: dict[str, DataFrame], name: str, settings: Settings = Settings()) -> None:
-    """Create the SQL dialect's table unless it exists."""
+def create_abt_table(
+    sources: dict[str, DataFrame], name: str, path: str | None = None, settings: Settings = Settings()
+) -> None:
+    """Create the SQL dialect's table in the catalog unless it exists; `path` makes it an external one."""
+    spark = sources["creditos"].sparkSession
     if not spark.catalog.tableExists(name):
-        abt_sql(sources, settings).write.format("parquet").saveAsTable(name)
+        writer = abt_sql(sources, settings).write.format("parquet")
+        (writer.option("path", path) if path else writer).saveAsTable(name)

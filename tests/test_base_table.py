@@ -155,3 +155,17 @@ def test_dialects_differ_where_documented(spark):
     assert (py["score_externo"], sql["score_externo"]) == (None, 580.0)
     assert {"email_hash", "estado_credito_operativo"} <= set(py) and not {"email_hash", "estado_credito_operativo"} & set(sql)
     assert py["es_moroso"] == sql["es_moroso"] == 1
+
+
+def test_create_table_only_once(spark, tmp_path):
+    from creditlake import adapters
+
+    sources = adapters.sources(spark, "/root/testdata/sf0.001")
+    try:
+        abt.create_abt_table(sources, "abt_una_vez", str(tmp_path / "abt"), adapters.TEST_SETTINGS)
+        n = spark.table("abt_una_vez").count()
+        abt.create_abt_table({**sources, "creditos": sources["creditos"].limit(0)}, "abt_una_vez", str(tmp_path / "abt"))
+        assert spark.table("abt_una_vez").count() == n > 0
+        assert spark.table("abt_una_vez").columns == [c for c in abt.SQL_COLUMNS]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS abt_una_vez")
