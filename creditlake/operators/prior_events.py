@@ -46,25 +46,26 @@ def prior_event_counts(
         hot = hot_keys(creditos, "cliente_id")
     kinds = [f"n_{i}" for i in range(len(event_types))]
     measures = [*kinds, PAIRS, SECONDS, TIMED]
+    loans = creditos.where("credito_id IS NOT NULL AND cliente_id IS NOT NULL AND fecha_desembolso IS NOT NULL").select(
+        "credito_id", "cliente_id", F.unix_date("fecha_desembolso").alias("day")
+    )
+    happened = eventos.where("cliente_id IS NOT NULL AND fecha_evento IS NOT NULL").select(
+        "cliente_id", F.unix_date("fecha_evento").alias("day"), "tipo_evento", "duracion_sesion_seg", F.lit(False).alias("asked")
+    )
     daily = (
-        eventos.where("cliente_id IS NOT NULL AND fecha_evento IS NOT NULL")
-        .groupBy("cliente_id", F.unix_date("fecha_evento").alias("day"))
+        happened.unionByName(loans.select("cliente_id", "day", F.lit(True).alias("asked")), allowMissingColumns=True)
+        .groupBy("cliente_id", "day")
         .agg(
             *[F.count_if(F.col("tipo_evento") == t).alias(n) for n, t in zip(kinds, event_types)],
-            F.count(F.lit(1)).alias(PAIRS),
+            F.count_if(~F.col("asked")).alias(PAIRS),
             F.sum("duracion_sesion_seg").alias(SECONDS),
             F.count("duracion_sesion_seg").alias(TIMED),
+            F.bool_or("asked").alias("asked"),
         )
-        .withColumn("asked", F.lit(False))
-    )
-    loans = creditos.where("credito_id IS NOT NULL AND cliente_id IS NOT NULL AND fecha_desembolso IS NOT NULL").select(
-        "credito_id", "cliente_id", F.unix_date("fecha_desembolso").alias("day")
     )
-    asked = loans.select("cliente_id", "day").distinct().withColumn("asked", F.lit(True))
     before = Window.partitionBy("cliente_id").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
     features = (
-        daily.unionByName(asked, allowMissingColumns=True)
-        .select("cliente_id", "day", "asked", *[F.sum(m).over(before).alias(m) for m in measures])
+        daily.select("cliente_id", "day", "asked", *[F.sum(m).over(before).alias(m) for m in measures])
         .where(F.col("asked") & (F.col(PAIRS) > 0))
         .drop("asked")
     )
