@@ -76,7 +76,8 @@ def _split(texts: pd.Series) -> pd.Series:
 def chunk_documents(docs: DataFrame, text: str = "page_content", above: int = SPLIT_ABOVE) -> DataFrame:
     """One row per chunk with its `chunk` number; documents up to `above` characters stay whole.
 
-    Only the long texts travel to Python.
+    Only the long texts travel to Python, in Arrow batches that Spark bounds by bytes
+    (`spark.sql.execution.arrow.maxBytesPerBatch`).
     """
     long_text = F.when(F.length(text) > above, F.col(text))
     pieces = F.coalesce(_split(long_text), F.array(text))

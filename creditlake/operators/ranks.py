@@ -188,6 +188,11 @@ def exact_medians(df: DataFrame, names: Sequence[str]) -> dict[str, float | None
     return {k: v[0] for k, v in exact_quantiles(df, {n: F.col(n) for n in names}, [0.5]).items()}
 
 
+def numeric_key(df: DataFrame, key: str) -> Column:
+    """`key` itself if it is a whole number, else its 64-bit hash, to order and tell apart rows."""
+    return F.col(key) if dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(key)
+
+
 def split_points(
     df: DataFrame, groups: Mapping[str, Column], value: Column, tie_break: Column, ranks: Mapping[str, Callable[[int], Sequence[int]]]
 ) -> dict[str, tuple[int, list[tuple]]]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import AMOUNT_BANDS, amount_band, score_band
 from ..settings import Settings
-from .ranks import with_ntile
+from .ranks import numeric_key, with_ntile
 
 LATE_PAYMENT = "Pagado tardío"
 
@@ -68,8 +68,8 @@ def insight_c(abt: DataFrame) -> DataFrame:
 
 
 def session_quintiles(abt: DataFrame, tie_break: Column | None = None) -> DataFrame:
-    """`quintil_sesion`: NTILE(5) by session seconds before the loan, ties by loan id."""
-    tie_break = F.col("credito_id") if tie_break is None else tie_break
+    """`quintil_sesion`: NTILE(5) by session seconds before the loan, ties by loan id (a text id by its hash)."""
+    tie_break = numeric_key(abt, "credito_id") if tie_break is None else tie_break
     return with_ntile(abt, 5, "prev_evento_sesion_seg_tot", tie_break, "quintil_sesion")
 
 

@@ -103,6 +103,13 @@ def abt_sql(sources: dict[str, DataFrame], settings: Settings = Settings()) -> D
     return abt.select([c for c in SQL_COLUMNS if c in abt.columns])
 
 
+def base_table(sources: dict[str, DataFrame], mode: str = "py", settings: Settings = Settings()) -> DataFrame:
+    """The base table in the dialect `mode`, "py" or "sql"."""
+    if mode not in ("py", "sql"):
+        raise ValueError(f"unknown dialect: {mode}")
+    return abt_py(sources, settings=settings) if mode == "py" else abt_sql(sources, settings)
+
+
 def create_abt_table(
     sources: dict[str, DataFrame], name: str, path: str | None = None, settings: Settings = Settings()
 ) -> None:

@@ -9,10 +9,8 @@ import check
 
 SF_DIR = "/root/testdata/sf0.001"
 QUICK = (
-    "scan_csv_typed", "upsert_merge", "dedupe_keep_last", "clean_clientes_py", "clean_clientes_sql", "clean_creditos", "clean_pagos",
-    "v_clientes_bi", "scalar_functions", "target_es_moroso", "eventos_previos_sql", "abt_py", "abt_sql", "insight_a", "insight_d",
-    "insight_e", "ntile_scaled", "fk_orphans", "null_profile", "perfil_cliente", "stratified_split", "roc_auc", "kb_loan_cards",
-    "kb_summary_doc", "knn_exact", "retrieve_context",
+    "scan_csv_typed", "upsert_merge", "clean_clientes_py", "clean_clientes_sql", "scalar_functions", "abt_py", "abt_sql", "insight_a",
+    "insight_d", "insight_e", "ntile_scaled", "perfil_cliente", "stratified_split", "kb_loan_cards", "kb_summary_doc", "retrieve_context",
 )
 NAMES = list(contract.oracle_sql()) if os.environ.get("CHECK_ALL") else QUICK
 

@@ -148,7 +148,9 @@ def test_dialects_differ_where_documented(spark):
         "cliente_id string, fecha_evento date, tipo_evento string, duracion_sesion_seg int",
     )
     sources = {"clientes": clientes, "creditos": creditos, "pagos": pagos, "eventos": eventos}
-    py, sql = abt.abt_py(sources, settings=CUT).first().asDict(), abt.abt_sql(sources, CUT).first().asDict()
+    py, sql = (abt.base_table(sources, mode, CUT).first().asDict() for mode in ("py", "sql"))
+    with pytest.raises(ValueError):
+        abt.base_table(sources, "r")
     assert (py["dia_semana_desembolso"], sql["dia_semana_desembolso"]) == (0, 1)
     assert py["prev_evento_simulacion_credito"] == sql["prev_evento_simulacion"] == 2
     assert py["prev_evento_otro"] == 1 and "prev_evento_otro" not in sql

@@ -25,6 +25,15 @@ def test_insight_a_drops_small_groups(spark, rows_of):
     assert rows_of(reports.insight_a(df)) == [("a", 1, 11, 3, 27.27, 10.0), ("c", None, 12, 0, 0.0, 5.0)]
 
 
+def test_insight_d_with_text_ids(spark):
+    rows = [(f"CR{i:05d}", i % 2, i % 3, 0, 0 if i < 60 else i) for i in range(101)]
+    abt = spark.createDataFrame(rows, "credito_id string, es_moroso int, prev_evento_pago_fallido int, prev_evento_simulacion_credito int, prev_evento_sesion_seg_tot int")
+    found = reports.insight_d(abt).collect()
+    assert [(r["quintil_sesion"], r["total_clientes"]) for r in found] == [(1, 21), (2, 20), (3, 20), (4, 20), (5, 20)]
+    assert sum(r["morosos"] for r in found) == 50
+    assert reports.session_quintiles(abt).where("quintil_sesion = 5").agg(F.min("prev_evento_sesion_seg_tot")).first()[0] == 81
+
+
 def test_segment_without_loans(spark):
     df = spark.createDataFrame([("x", 1)], "ciudad string, es_moroso int")
     assert reports.segment_rate(df, ciudad="y").first() == (0, 0, None)
