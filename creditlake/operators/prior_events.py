@@ -18,13 +18,16 @@ from .skew import hot_keys, lookup_join
 PAIRS, SECONDS, TIMED = "_pairs", "_seconds", "_timed"
 
 
-def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str]:
-    """The event types that occur before at least one loan of their client, sorted by name."""
+def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str | None]:
+    """The event types that occur before at least one loan of their client, sorted, None last.
+
+    A pass of its own over clients and types; callers that know the types should pass them instead.
+    """
     first = eventos.groupBy("cliente_id", "tipo_evento").agg(F.min("fecha_evento").alias("first"))
     last = creditos.groupBy("cliente_id").agg(F.max("fecha_desembolso").alias("last"))
     types = (
         first.join(last, "cliente_id")
-        .where("first < last AND tipo_evento IS NOT NULL")
+        .where("first < last")
         .select("tipo_evento")
         .distinct()
         .limit(1001)
@@ -32,7 +35,7 @@ def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str]:
     )
     if len(types) > 1000:
         raise ValueError("more than 1000 event types: pass event_types to choose the columns")
-    return sorted(r[0] for r in types)
+    return sorted((r[0] for r in types), key=lambda t: (t is None, t))
 
 
 def prior_event_counts(
@@ -81,12 +84,14 @@ def event_features_py(
 ) -> DataFrame:
     """credito_id, prev_evento_<type>..., session total and mean (unrounded).
 
-    With `event_types=None` the columns are the types found; none found means no columns at all.
+    With `event_types=None` the columns are the types found; without any prior event there are no
+    columns at all. Events without a type count for the session columns only.
     """
     if event_types is None:
-        event_types = prior_event_types(creditos, eventos)
-    if not event_types:
-        return creditos.select("credito_id").limit(0)
+        found = prior_event_types(creditos, eventos)
+        if not found:
+            return creditos.select("credito_id").limit(0)
+        event_types = [t for t in found if t is not None]
     return prior_event_counts(creditos, eventos, event_types, hot).select(
         "credito_id",
         *[F.col(f"n_{i}").alias(f"prev_evento_{t}") for i, t in enumerate(event_types)],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
+SALTS_PER_PARTITION, MAX_SALTS = 4, 10_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
@@ -30,12 +31,13 @@ def lookup_join(
 ) -> DataFrame:
     """Equi join of a large `left` with a `right` that is (nearly) unique on `on`.
 
-    Left rows of the hot keys are spread over as many salts as there are shuffle partitions, and
-    only the few right rows of those keys are copied to each salt.
+    Left rows of the hot keys are spread over salts, several per shuffle partition so that they even
+    out, and only the few right rows of those keys are copied to each salt.
     """
     if not hot:
         return left.join(right, list(on), how)
-    salts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = min(SALTS_PER_PARTITION * partitions, MAX_SALTS)
     is_hot = F.col(hot_key).isin(list(hot))
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(0))

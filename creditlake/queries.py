@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import adapters
@@ -514,7 +514,7 @@ def feature_columns(spark, sf_dir):
     return abt.agg(*[F.count(c).alias(c) for c in names]).select(F.inline(rows))
 
 
-def _hash() -> F.Column:
+def _hash() -> Column:
     return (F.col("credito_id") * 2654435761) % 4294967296
 
 

@@ -64,6 +64,35 @@ def test_hot_clients_are_found_and_salted(spark, same_rows, capsys):
     assert "_salt" in capsys.readouterr().out
 
 
+def test_salting_balances_the_tasks(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+        right = spark.range(60_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        largest = {}
+        for name, hot in (("plain", []), ("salted", hot_keys(left, "k"))):
+            joined = lookup_join(left, right, ["k"], "k", hot)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 60_000
+            largest[name] = max(sizes)
+        assert largest["plain"] > 28_000 and largest["salted"] < 24_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_label_scan_reads_three_columns_and_pushes_the_cutoff(spark, tmp_path, capsys):
+    rows = [("L1", D(2024, 1, 1), 31, 5.0, "PSE")]
+    spark.createDataFrame(rows, "credito_id string, fecha_vencimiento date, dias_mora int, valor_pagado double, medio_pago string").write.parquet(str(tmp_path / "p"))
+    default_label(clean.clean_pagos(spark.read.parquet(str(tmp_path / "p"))), CUT).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "LessThanOrEqual(fecha_vencimiento,2024-06-30)" in plan
+    assert "ReadSchema: struct<credito_id:string,fecha_vencimiento:date,dias_mora:int>" in plan
+
+
 def test_events_on_or_after_the_loan_never_matter(spark, same_rows):
     loans, events = loans_and_events(spark)
     late = loans.select("cliente_id", F.col("fecha_desembolso").alias("fecha_evento")).withColumns(
@@ -92,6 +121,14 @@ def test_no_prior_events_add_no_columns_unless_types_are_given(spark):
     assert (row["antiguedad_cliente_dias"], row["mes_desembolso"], row["dia_semana_desembolso"], row["es_moroso"]) == (5, 1, day(5).weekday(), 0)
 
 
+def test_untyped_events_only_count_for_the_session(spark, rows_of):
+    loans = spark.createDataFrame([("L1", "c1", day(5))], "credito_id string, cliente_id string, fecha_desembolso date")
+    events = spark.createDataFrame([("c1", day(1), None, 10), ("c1", day(2), None, None)], "cliente_id string, fecha_evento date, tipo_evento string, duracion_sesion_seg int")
+    found = prior_events.event_features_py(loans, events)
+    assert found.columns == ["credito_id", "prev_evento_sesion_seg_tot", "prev_evento_sesion_seg_avg"]
+    assert rows_of(found) == [("L1", 10, 10.0)]
+
+
 def test_label_edges(spark, rows_of):
     rows = [
         ("on cutoff", D(2024, 6, 30), 31), ("after cutoff", D(2024, 7, 1), 90), ("undated", None, 90),

@@ -73,6 +73,8 @@ def test_align_schema(spark):
     target = spark.createDataFrame([], TARGET).schema
     aligned, missing = align_schema(spark.createDataFrame([("x", 1, 9)], "a string, k bigint, extra int"), target)
     assert aligned.dtypes == [("k", "int"), ("a", "string")] and missing == ["b"]
+    nan, _ = align_schema(spark.createDataFrame([(1, float("nan")), (2, 0.5)], "k int, b double"), target)
+    assert [r["b"] for r in nan.orderBy("k").collect()] == [None, 0.5]
     with pytest.raises(ValueError):
         align_schema(spark.createDataFrame([(1,)], "z int"), target)
 
