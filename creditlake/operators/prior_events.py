@@ -16,26 +16,33 @@ from pyspark.sql import functions as F
 from .skew import hot_keys, lookup_join
 
 PAIRS, SECONDS, TIMED = "_pairs", "_seconds", "_timed"
+MAX_TYPES = 1_000
 
 
 def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str | None]:
     """The event types that occur before at least one loan of their client, sorted, None last.
 
-    A pass of its own over clients and types; callers that know the types should pass them instead.
+    A pass of its own over the events, one row per client after the partial aggregate; callers that
+    know the types should pass them instead.
     """
-    first = eventos.groupBy("cliente_id", "tipo_evento").agg(F.min("fecha_evento").alias("first"))
-    last = creditos.groupBy("cliente_id").agg(F.max("fecha_desembolso").alias("last"))
-    types = (
-        first.join(last, "cliente_id")
-        .where("first < last")
-        .select("tipo_evento")
-        .distinct()
-        .limit(1001)
-        .collect()
+    types = [r[0] for r in eventos.select("tipo_evento").distinct().limit(MAX_TYPES + 1).collect()]
+    if len(types) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} event types: pass event_types to choose the columns")
+    if not types:
+        return []
+    loans = creditos.select("cliente_id", "fecha_desembolso")
+    per_client = (
+        eventos.select("cliente_id", "fecha_evento", "tipo_evento")
+        .unionByName(loans, allowMissingColumns=True)
+        .where("cliente_id IS NOT NULL")
+        .groupBy("cliente_id")
+        .agg(
+            F.max("fecha_desembolso").alias("last"),
+            *[F.min(F.when(F.col("tipo_evento").eqNullSafe(F.lit(t)), F.col("fecha_evento"))).alias(f"first_{i}") for i, t in enumerate(types)],
+        )
     )
-    if len(types) > 1000:
-        raise ValueError("more than 1000 event types: pass event_types to choose the columns")
-    return sorted((r[0] for r in types), key=lambda t: (t is None, t))
+    seen = per_client.agg(*[F.bool_or(F.col(f"first_{i}") < F.col("last")) for i in range(len(types))]).first()
+    return sorted((t for t, s in zip(types, seen) if s), key=lambda t: (t is None, t))
 
 
 def prior_event_counts(
