@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import langid, mixing, sharding, tokens
+from creditlake.llm import langid, mixing, sharding, simhash, tokens
 from creditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,12 @@ def query(name: str):
     return keep
 
 
+@query("op1_simhash_groups")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", simhash.as_hex(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 @query("op2_source_mixing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix(table(spark, sf_dir, "documents"))
