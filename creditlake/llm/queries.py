@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import langid, mixing, sharding, simhash, tokens
+from creditlake.llm import decontaminate, html, langid, mixing, sharding, simhash, tokens
 from creditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,11 +66,21 @@ SELECT doc_id, size, source_size, target,
 FROM drawn"""
 
 
+@query("op6_edit_matches")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_token_orc")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op8_page_wrappers")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op9_language_profiles")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(table(spark, sf_dir, "documents"))
