@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import decontaminate, html, langid, mixing, sharding, simhash, tokens, toxicity
+from creditlake.llm import decontaminate, html, langid, mixing, pii, sharding, simhash, tokens, toxicity
 from creditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_feistel_pseudonyms")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(table(spark, sf_dir, "documents")).select("doc_id", "text", "replaced")
+
+
 @query("op6_edit_matches")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
