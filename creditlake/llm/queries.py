@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm import decontaminate, html, langid, mixing, pii, sharding, simhash, tokens, toxicity
+from creditlake.llm import ann, decontaminate, html, langid, mixing, pii, sharding, simhash, tokens, toxicity
 from creditlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,11 @@ SELECT doc_id, size, source_size, target,
 FROM drawn"""
 
 
+@query("op3_hilbert_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_toxicity_nnpu")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
