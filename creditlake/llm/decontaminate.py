@@ -5,6 +5,7 @@ from dataclasses import dataclass, field
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,15 +196,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS)
 def clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> DataFrame:
     """The rows of `docs` in which no test item occurs, with all their columns; texts are neither cut nor shuffled."""
     spark = docs.sparkSession
-    rows = docs
     for items in _blocks(benchmark, BLOCK):
-        shared = spark.sparkContext.broadcast(items)
+        docs = docs.where(~_holds(spark.sparkContext.broadcast(items), errors)("text"))
+    return docs
+
 
-        @F.pandas_udf("boolean")
-        def holds(texts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            searcher = Searcher(shared.value, errors, SHORTEST)
-            for batch in texts:
-                yield pd.Series([t is not None and bool(searcher.search(normalise(t))) for t in batch], dtype=bool)
+def _holds(shared: Broadcast, errors: float):
+    @F.pandas_udf("boolean")
+    def holds(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        searcher = Searcher(shared.value, errors, SHORTEST)
+        for batch in texts:
+            yield pd.Series([t is not None and bool(searcher.search(normalise(t))) for t in batch], dtype=bool)
 
-        rows = rows.where(~holds("text"))
-    return rows
+    return holds

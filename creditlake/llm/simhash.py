@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlake.llm.common import components, small_batches
@@ -127,3 +127,117 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, s
 
 def as_hex(bits: Column) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
+
+
+#: For similar texts: fingerprints of each text, and the least similarity of their shingles of five words.
+PRINTS = 6
+SIMILAR = 0.8
+SHINGLE = 5
+
+
+def word_prints(text: str, prints: int = PRINTS) -> list[int]:
+    """SimHashes of the distinct words of a text under several hashes, as signed numbers; zeros without words.
+
+    Words change less than shingles do when a text is edited, so similar texts have prints a few bits apart.
+    """
+    words = set(text.encode("utf-8", "surrogatepass").lower().split())
+    if not words:
+        return [0] * prints
+    base = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    found = []
+    for k in range(prints):
+        h = (base ^ np.uint64(xxhash.xxh64_intdigest(b"print", k))) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        found.append(int(np.packbits(2 * bits > len(words), bitorder="little").view("<i8")[0]))
+    return found
+
+
+def shingle_set(text: str, words: int = SHINGLE) -> np.ndarray:
+    """Hashes of the distinct shingles of a whole text; a shorter text is one shingle, one without words has none."""
+    parts = text.encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.empty(0, np.int32)
+    n = max(1, len(parts) - words + 1)
+    found = np.fromiter((xxhash.xxh32_intdigest(b" ".join(parts[i : i + words])) for i in range(n)), np.uint32, n)
+    return np.unique(found).view(np.int32)
+
+
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PRINTS, small: int = 16) -> DataFrame:
+    """Links (a, b) between different texts whose shingles of five words have a Jaccard similarity of `similarity` or more.
+
+    a and b are xxhash64 of `text_key`. Candidates agree with each other under a covering mask of radius 2 in one of several
+    fingerprints of their words; each is verified on the shingles of the whole texts. Small buckets give all their pairs. In
+    larger ones, which are groups of copies of copies, each text meets the least and the largest of the bucket, which differ
+    from mask to mask, so groups hold together without their pairs.
+    """
+    masks = covering_masks(RADIUS)
+    node = F.xxhash64(text_key(F.col("text")))
+    rows = docs.select(node.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            found = [word_prints(t, prints) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "prints"])
+
+    printed = stage(rows.mapInArrow(of, "id long, prints array<bigint>").dropDuplicates(["id"]), "prints")
+    spots = F.array(
+        *(
+            F.xxhash64(F.element_at("prints", s + 1).bitwiseAND(F.lit(_signed(m))), F.lit(s * len(masks) + t))
+            for s in range(prints)
+            for t, m in enumerate(masks)
+        )
+    )
+    met = printed.select("id", F.explode(spots).alias("spot"))
+    shared = met.groupBy("spot").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1")
+    met = stage(met.join(shared.withColumnRenamed("spot", "at"), F.col("spot") == F.col("at")).select("spot", "id", "n", "low", "high"), "met")
+    few = met.where(F.col("n") <= small)
+    left, right = few.select("spot", F.col("id").alias("a")), few.select(F.col("spot").alias("at"), F.col("id").alias("b"))
+    pairs = left.join(right, (F.col("spot") == F.col("at")) & (F.col("a") > F.col("b"))).select("a", "b")
+    many = met.where(F.col("n") > small).select("id", F.explode(F.array("low", "high")).alias("other")).where("id != other")
+    pairs = pairs.union(many.select(F.greatest("id", "other"), F.least("id", "other"))).distinct()
+    pairs = stage(pairs, "pairs")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            found = [shingle_set(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
+
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+    known = rows.join(involved, F.col("id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles array<int>")
+    known = stage(known.dropDuplicates(["id"]), "shingles")
+    first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    alike = F.when(union == 0, F.lit(1.0)).otherwise(common / union) >= similarity
+    return both.where(alike).select("a", "b")
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
+    """The rows of `docs`, of each group of equal or similar texts only the one with the smallest doc_id.
+
+    Groups are the components of `similar_texts`; equal texts are one from the start. Null texts count as empty. A null
+    doc_id comes last; rows with equal id and text are copies, of which one stays. Texts are shuffled twice: for the
+    shingles of candidates, and to meet the narrow table of what stays, in which a text with many copies is one row. All
+    columns are kept. An empty table gives an empty result.
+    """
+    texts = docs.select(text_key(F.col("text")).alias("key"), "doc_id").groupBy("key").agg(F.min("doc_id").alias("first"))
+    texts = stage(texts.withColumn("id", F.xxhash64("key")), "texts")
+    joined = components(similar_texts(docs, similarity))
+    members = texts.join(joined, F.col("id") == F.col("node")).select("id", "first", "component")
+    best = members.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("last"), "first", "id")).alias("best"))
+    chosen = best.select(F.col("best.id").alias("chosen"))
+    dropped = members.select("id").join(chosen, F.col("id") == F.col("chosen"), "left_anti").withColumnRenamed("id", "gone")
+    kept = texts.join(dropped, F.col("id") == F.col("gone"), "left_anti")
+    pair = lambda key, doc_id: F.md5(F.concat(key, F.lit("|"), F.coalesce(doc_id.cast("string"), F.lit("-"))))
+    kept = kept.select(pair(F.col("key"), F.col("first")).alias("kept"))
+    rows = docs.select(F.struct("*").alias("doc"), pair(text_key(F.col("text")), F.col("doc_id")).alias("pair"))
+    rows = rows.join(kept, F.col("pair") == F.col("kept"))
+    number = F.row_number().over(Window.partitionBy("pair").orderBy("pair"))
+    return rows.withColumn("number", number).where("number = 1").select("doc.*")
