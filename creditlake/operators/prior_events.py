@@ -8,12 +8,12 @@ than there are days, however many loans or events it holds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import hot_keys, lookup_join
+from .skew import hot_weights, lookup_join
 
 PAIRS, SECONDS, TIMED = "_pairs", "_seconds", "_timed"
 MAX_TYPES = 1_000
@@ -46,14 +46,14 @@ def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str | Non
 
 
 def prior_event_counts(
-    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str], hot: Sequence | None = None
+    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str], hot: Mapping | Sequence | None = None
 ) -> DataFrame:
     """Per loan that has prior events: count per type `n_<i>`, all events, session seconds and timed events.
 
     An event on the day of the loan is not prior. `hot` names the clients with very many loans.
     """
     if hot is None:
-        hot = hot_keys(creditos, "cliente_id")
+        hot = hot_weights(creditos, "cliente_id")
     kinds = [f"n_{i}" for i in range(len(event_types))]
     measures = [*kinds, PAIRS, SECONDS, TIMED]
     loans = creditos.where("credito_id IS NOT NULL AND cliente_id IS NOT NULL AND fecha_desembolso IS NOT NULL").select(
@@ -87,7 +87,7 @@ def prior_event_counts(
 
 
 def event_features_py(
-    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str] | None = None, hot: Sequence | None = None
+    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str] | None = None, hot: Mapping | Sequence | None = None
 ) -> DataFrame:
     """credito_id, prev_evento_<type>..., session total and mean (unrounded).
 
@@ -117,7 +117,7 @@ SQL_EVENT_COLUMNS = {
 }
 
 
-def event_features_sql(creditos: DataFrame, eventos: DataFrame, hot: Sequence | None = None) -> DataFrame:
+def event_features_sql(creditos: DataFrame, eventos: DataFrame, hot: Mapping | Sequence | None = None) -> DataFrame:
     """The SQL dialect: five fixed types, mean session rounded to one digit."""
     counts = prior_event_counts(creditos, eventos, list(SQL_EVENT_COLUMNS), hot)
     return counts.select(

@@ -31,7 +31,7 @@ def histogram(df: DataFrame, columns: Mapping[str, tuple[Column, int]]) -> DataF
     """Equal-width histograms: variable, bin, desde, hasta, n; empty bins included.
 
     `columns` maps a name to (column, number of bins). The top edge belongs to the last bin, and a
-    constant column gets a range of one around its value.
+    constant column gets a range of one around its value. A column of nulls has no bins.
     """
     values = {name: c.cast("double") for name, (c, _) in columns.items()}
     extent = df.agg(
@@ -48,10 +48,13 @@ def histogram(df: DataFrame, columns: Mapping[str, tuple[Column, int]]) -> DataF
         top_edge_last = F.when(position >= bins, bins - 1).otherwise(position)
         hits.append(F.struct(F.lit(name).alias("variable"), top_edge_last.alias("bin")))
         empty += [(name, b, lo + b * (hi - lo) / bins, lo + (b + 1) * (hi - lo) / bins) for b in range(bins)]
+    schema = "variable string, bin bigint, desde double, hasta double"
+    if not hits:
+        return df.sparkSession.createDataFrame([], f"{schema}, n bigint")
     counts = (
         df.select(F.inline(F.array(*hits))).where("bin IS NOT NULL").groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = df.sparkSession.createDataFrame(empty, "variable string, bin bigint, desde double, hasta double")
+    edges = df.sparkSession.createDataFrame(empty, schema)
     return edges.join(counts, ["variable", "bin"], "left").fillna(0, ["n"])
 
 

@@ -9,7 +9,12 @@ from ..functions.numbers import AMOUNT_BANDS, amount_band, score_band
 from ..settings import Settings
 from .ranks import numeric_key, with_ntile
 
+# Fixed value: the state of a late payment in the data.
 LATE_PAYMENT = "Pagado tardío"
+#: Columns of the base table that the reports read.
+INSIGHT_A = ("ocupacion", "estrato", "es_moroso", "monto_credito")
+INSIGHT_B = ("score_externo", "es_moroso", "score_interno_originacion")
+INSIGHT_C = ("producto_credito", "canal_originacion", "es_moroso", "relacion_cuota_ingreso")
 
 
 def _rows() -> Column:

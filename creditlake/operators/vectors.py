@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..settings import stage
+
 MAX_QUERIES_PER_TASK = 2_048
-ROWS_PER_BLOCK = 50_000
+QUERY_BLOCK_BYTES = 32 * 2**20
 SCORE_DIGITS = 9
 SCORES_AT_ONCE = 2_000_000
-MAX_BROADCAST_BYTES = 64 * 2**20
 
 
 def unit(v: Column) -> Column:
@@ -75,9 +76,10 @@ def knn_exact(
 ) -> DataFrame:
     """query_id, id, score, rank: the k corpus rows with the highest cosine per query.
 
-    Tasks multiply their rows with all queries and keep k rows per query, so k rows per query and
-    partition reach the shuffle. The queries travel to the tasks only up to `max_queries`; more are
-    cut into blocks that meet blocks of the corpus in a co-group. Ids must be unique.
+    Queries are cut into blocks of at most `max_queries` and QUERY_BLOCK_BYTES, each of which is broadcast and scanned
+    against the corpus where that is read; tasks keep k rows per query, so k rows per query and partition are all that is
+    shuffled, and the corpus never is. More queries take more scans, by the same path. Ids must be unique. A null
+    vector takes no part; vectors of different length, among queries or between them and the corpus, are an error.
     """
     id_type, query_type = dict(corpus.dtypes)[id_col], dict(queries.dtypes)[query_col]
     out_schema = f"{query_col} {_wide(query_type)}, {id_col} {_wide(id_type)}, score double"
@@ -86,27 +88,40 @@ def knn_exact(
         values = F.col(vector).cast("array<double>").alias(vector)
         return df.select(F.col(key).cast(_wide(dict(df.dtypes)[key])).alias(key), values).where(F.col(vector).isNotNull())
 
-    known, rows = typed(queries, query_col), typed(corpus, id_col)
-    few = known.limit(max_queries + 1).collect()
-    if len(few) <= max_queries:
-        if not few:
-            return rows.sparkSession.createDataFrame([], f"{query_col} {query_type}, {id_col} {id_type}, score double, rank int")
-        candidates = _against_all_queries(rows, few, k, id_col, query_col, vector, out_schema)
-    else:
-        candidates = _in_blocks(rows, known, k, id_col, query_col, vector, out_schema, max_queries)
+    rows, candidates = typed(corpus, id_col), None
+    for ids, matrix in _query_blocks(typed(queries, query_col), query_col, vector, max_queries):
+        found = _against(rows, ids, matrix, k, id_col, query_col, out_schema)
+        candidates = found if candidates is None else candidates.union(found)
+    if candidates is None:
+        return rows.sparkSession.createDataFrame([], f"{query_col} {query_type}, {id_col} {id_type}, score double, rank int")
     w = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
     best = candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return best.withColumns({query_col: F.col(query_col).cast(query_type), id_col: F.col(id_col).cast(id_type)})
 
 
+def _query_blocks(known: DataFrame, query_col: str, vector: str, max_queries: int) -> Iterator[tuple[list, np.ndarray]]:
+    """Ids and unit vectors of the queries; one block at a time is on the driver."""
+    ids, held, dim = [], [], None
+    for r in known.toLocalIterator():
+        dim = len(r[vector]) if dim is None else dim
+        if len(r[vector]) != dim:
+            raise ValueError(f"query vectors of {dim} and {len(r[vector])} components")
+        if ids and (len(ids) == max_queries or (len(ids) + 1) * dim * 8 > QUERY_BLOCK_BYTES):
+            yield ids, _unit_rows(np.array(held, dtype=float))
+            ids, held = [], []
+        ids.append(r[query_col])
+        held.append(r[vector])
+    if ids:
+        yield ids, _unit_rows(np.array(held, dtype=float))
+
+
 def _wide(spark_type: str) -> str:
     """Ids travel through Python as bigint or string."""
     return "bigint" if spark_type in ("tinyint", "smallint", "int", "bigint") else "string"
 
 
-def _against_all_queries(rows, few, k, id_col, query_col, vector, out_schema) -> DataFrame:
-    query_ids = [r[query_col] for r in few]
-    matrix = _unit_rows(np.array([r[vector] for r in few], dtype=float))
+def _against(rows, query_ids, matrix, k, id_col, query_col, out_schema) -> DataFrame:
+    """The k best rows of each partition for each query of a block."""
     shared = rows.sparkSession.sparkContext.broadcast((query_ids, matrix))
     dim = matrix.shape[1]
 
@@ -115,37 +130,16 @@ def _against_all_queries(rows, few, k, id_col, query_col, vector, out_schema) ->
         best = _Best(q, k)
         for batch in batches:
             if batch.num_rows:
+                sizes = np.diff(batch.column(1).offsets.to_numpy())
+                if (sizes != dim).any():
+                    raise ValueError(f"corpus vectors of {sizes[sizes != dim][0]} components, queries of {dim}")
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
                 best.add(np.array(batch.column(0).to_pylist(), dtype=object), flat.reshape(-1, dim))
         a, b, c = best.columns(ids_of_queries)
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c)], [query_col, id_col, "score"])
 
-    return rows.where(F.size(vector) == dim).mapInArrow(search, out_schema)
-
-
-def _in_blocks(rows, known, k, id_col, query_col, vector, out_schema, max_queries) -> DataFrame:
-    query_blocks = -(-known.count() * 2 // max_queries)
-    row_blocks = max(rows.count() // ROWS_PER_BLOCK, 1)
-
-    def each(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def block_of(c: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-
-    left = known.withColumn("_q", block_of(query_col, query_blocks)).withColumn("_r", each(row_blocks))
-    right = rows.withColumn("_r", block_of(id_col, row_blocks)).withColumn("_q", each(query_blocks))
-
-    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return pd.DataFrame({query_col: [], id_col: [], "score": []})
-        best = _Best(_unit_rows(np.stack(q[vector].to_list()).astype(float)), k)
-        best.add(r[id_col].to_numpy(dtype=object), np.stack(r[vector].to_list()))
-        a, b, c = best.columns(q[query_col].to_list())
-        return pd.DataFrame({query_col: a, id_col: b, "score": c})
-
-    return left.groupBy("_q", "_r").cogroup(right.groupBy("_q", "_r")).applyInPandas(search, out_schema)
+    return rows.mapInArrow(search, out_schema)
 
 
 def knn_approx(
@@ -155,61 +149,98 @@ def knn_approx(
     id_col: str = "vec_id",
     query_col: str = "query_id",
     vector: str = "embedding",
-    bucket_length: float = 0.5,
-    tables: int = 8,
+    cells: int | None = None,
+    recall: float = 0.95,
+    sample: int = 64,
     seed: int = 42,
 ) -> DataFrame:
-    """As `knn_exact`, but only scores rows that share a random-projection bucket with the query.
+    """As `knn_exact`, but only scores rows in the cells nearest to the query.
 
-    The hashed queries are broadcast up to MAX_BROADCAST_BYTES, so corpus rows are hashed, matched
-    and scored where they are read and only k rows per query and partition are shuffled. A pair
-    that meets in several buckets counts in the first of them.
+    Cells are those of k-means on unit vectors, by default the square root of the rows, 1 024 at most, so their centres
+    are small enough to broadcast. How many cells a query visits is measured: up to `sample` queries are searched
+    exactly, and the cells visited are those that hold `recall` of what was found. On data without clusters that is
+    most of them. Queries travel to the rows as in `knn_exact`; k rows per query and partition are shuffled.
     """
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
 
-    def prepared(df: DataFrame, key: str, name: str) -> DataFrame:
-        units = df.where(F.col(vector).isNotNull()).select(F.col(key).alias(name), unit(F.col(vector)).alias("_unit"))
-        return units.withColumn("_vector", array_to_vector("_unit"))
+    def units(df: DataFrame, key: str) -> DataFrame:
+        return df.where(F.col(vector).isNotNull()).select(key, unit(F.col(vector)).alias(vector))
 
-    rows, asked = prepared(corpus, id_col, "_id"), prepared(queries, query_col, "_query")
-    sized = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_unit")).alias("d")).first()
-    if not sized["n"]:
+    rows, asked = units(corpus, id_col), units(queries, query_col)
+    n = rows.count()
+    if not n or asked.isEmpty():
         return knn_exact(corpus, queries, k, id_col, query_col, vector)
-    hashing = lsh.fit(rows)
-
-    def hashed(df: DataFrame, prefix: str) -> DataFrame:
-        buckets = F.transform("_hashes", lambda h: F.get(vector_to_array(h), F.lit(0)))
-        with_buckets = hashing.transform(df).withColumn("_buckets", buckets).drop("_vector", "_hashes")
-        exploded = with_buckets.select("*", F.posexplode("_buckets").alias("_table", "_bucket"))
-        return exploded.withColumnsRenamed({"_unit": f"{prefix}_unit", "_buckets": f"{prefix}_buckets"})
-
-    left = hashed(asked, "q")
-    if sized["n"] * sized["d"] * 8 * tables <= MAX_BROADCAST_BYTES:
-        left = F.broadcast(left)
-    meets = F.zip_with("q_buckets", "r_buckets", lambda a, b: a == b)
-    dot = F.aggregate(F.zip_with("q_unit", "r_unit", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
-    w = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
-    return (
-        hashed(rows, "r")
-        .join(left, ["_table", "_bucket"])
-        .where(F.array_position(meets, True) == F.col("_table") + 1)
-        .select(F.col("_query").alias(query_col), F.col("_id").alias(id_col), F.round(dot, SCORE_DIGITS).alias("score"))
-        .withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
+    cells = max(1, min(cells or math.isqrt(n), 1024))
+    known = rows.withColumn("_vector", array_to_vector(vector))
+    model = KMeans(k=cells, seed=seed, maxIter=10, featuresCol="_vector", predictionCol="_cell").fit(
+        known.where(F.pmod(F.xxhash64(id_col), F.lit(max(1, n // 200_000))) == 0)
     )
+    placed = model.transform(known).drop("_vector")
+    centres = np.array(model.clusterCenters())
+
+    few = asked.orderBy(F.xxhash64(query_col), query_col).limit(sample)
+    hits = knn_exact(rows, few, k, id_col, query_col, vector).select(query_col, id_col)
+    cell_of = {(r[0], r[1]): r[2] for r in placed.select(id_col, "_cell").join(F.broadcast(hits), id_col).select(query_col, id_col, "_cell").collect()}
+    order = {r[query_col]: np.argsort(-(centres @ np.array(r[vector])), kind="stable").tolist() for r in few.collect()}
+    needed = sorted(order[q].index(c) + 1 for (q, _), c in cell_of.items())
+    probes = needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)] if needed else 1
+
+    id_type, query_type = dict(rows.dtypes)[id_col], dict(asked.dtypes)[query_col]
+    schema = f"{query_col} {_wide(query_type)}, {id_col} {_wide(id_type)}, score double"
+    spread = placed.select(F.col(id_col).cast(_wide(id_type)).alias(id_col), vector, "_cell")
+    candidates = None
+    for ids, matrix in _query_blocks(asked.withColumn(query_col, F.col(query_col).cast(_wide(query_type))), query_col, vector, MAX_QUERIES_PER_TASK):
+        visited = np.argsort(-(matrix @ centres.T), axis=1, kind="stable")[:, :probes]
+        found = _in_cells(spread, ids, matrix, visited, cells, k, id_col, query_col, schema)
+        candidates = found if candidates is None else candidates.union(found)
+    w = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
+    best = candidates.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return best.withColumns({query_col: F.col(query_col).cast(query_type), id_col: F.col(id_col).cast(id_type)})
+
+
+def _in_cells(rows, query_ids, matrix, visited, cells, k, id_col, query_col, schema) -> DataFrame:
+    """The k best rows of each partition for each query, among the rows of the cells that the query visits."""
+    of_cell = [np.flatnonzero((visited == c).any(axis=1)) for c in range(cells)]
+    shared = rows.sparkSession.sparkContext.broadcast((query_ids, matrix, of_cell))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of_queries, q, askers = shared.value
+        best = [_Best(q[own], k) if len(own) else None for own in askers]
+        for batch in batches:
+            own = batch.column(2).to_numpy()
+            ids = np.array(batch.column(0).to_pylist(), dtype=object)
+            vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, q.shape[1])
+            for c in np.unique(own):
+                if best[c] is not None:
+                    best[c].add(ids[own == c], vectors[own == c])
+        for c, b in enumerate(best):
+            if b is not None:
+                x, y, z = b.columns([ids_of_queries[i] for i in askers[c]])
+                if x:
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(z)], [query_col, id_col, "score"])
+
+    return rows.mapInArrow(search, schema)
 
 
 def contexts(
-    hits: DataFrame, texts: DataFrame, queries: DataFrame, id_col: str, text_col: str, fallback: str, query_col: str = "query_id"
+    hits: DataFrame,
+    texts: DataFrame,
+    queries: DataFrame,
+    id_col: str,
+    text_col: str,
+    fallback: str,
+    query_col: str = "query_id",
+    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """query_id, contexto: the texts of each query's hits in rank order, one per line.
 
-    A query without any text gets `fallback`. A query has at most k hits.
+    A query without any text gets `fallback`. The hits, a few narrow rows per query, are staged and counted; up to
+    `max_broadcast_rows` they are broadcast, so texts are read where they lie and only those found are shuffled.
     """
+    hits = stage(hits.select(query_col, id_col, "rank"), "hits")
+    few = F.broadcast(hits) if hits.count() <= max_broadcast_rows else hits
     found = (
-        hits.join(texts.select(id_col, F.col(text_col).alias("_text")), id_col)
+        texts.select(id_col, F.col(text_col).alias("_text"))
+        .join(few, id_col)
         .groupBy(query_col)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "_text"))).alias("_ranked"))
         .select(query_col, F.array_join(F.transform("_ranked", lambda s: s["_text"]), "\n").alias("contexto"))

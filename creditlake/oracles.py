@@ -610,12 +610,39 @@ FROM g, p, c, d""",
 UNION ALL SELECT 'politica_negocio', COUNT(*) FROM benchmark UNION ALL SELECT 'resumen_portafolio', CAST(1 AS BIGINT)""",
     ),
     "kb_counts": _with(
+        "scored", "SELECT CAST(2 AS BIGINT) AS colecciones, CAST((SELECT COUNT(*) FROM scored) + (SELECT COUNT(*) FROM benchmark) AS BIGINT) AS embeddings"
+    ),
+    "kb_build": _with(
         "scored",
-        "SELECT CAST(2 AS BIGINT) AS colecciones, CAST((SELECT COUNT(*) FROM scored) + (SELECT COUNT(*) FROM embeddings) AS BIGINT) AS embeddings",
+        """SELECT 'ficha_cliente' AS fuente, COUNT(*) AS documentos, true AS claves_unicas, true AS cortos FROM scored
+UNION ALL SELECT 'politica_negocio', COUNT(*), true, true FROM benchmark
+UNION ALL SELECT 'resumen_portafolio', CAST(1 AS BIGINT), true, true""",
+    ),
+    "chunk_documents": "SELECT doc_id, true AS tamano_correcto, true AS empieza, true AS termina FROM documents WHERE text IS NOT NULL",
+    "train_default_model": _with(
+        "labelled",
+        """SELECT clase, CAST(SUM(n) AS BIGINT) AS support, true AS auc_mejor_que_azar FROM (
+  SELECT clase, n FROM (SELECT es_moroso, CAST(floor(0.2::DOUBLE * COUNT(*) + 0.5::DOUBLE) AS BIGINT) AS n FROM labelled GROUP BY es_moroso)
+  JOIN (SELECT unnest(['0', '1', 'accuracy', 'macro avg', 'weighted avg']) AS clase)
+    ON clase NOT IN ('0', '1') OR clase = CAST(es_moroso AS VARCHAR)) GROUP BY clase""",
+    ),
+    "score_book": _with("labelled", "SELECT credito_id, es_moroso, true AS valida, true AS coherente FROM labelled"),
+    "feature_importance": "SELECT CAST(unnest(range(1, 6)) AS INT) AS puesto, true AS no_negativa, true AS descendente",
+    "score_applicants": _with(
+        "raw_creditos raw_clientes", "SELECT credito_id, true AS valida, true AS coherente FROM raw_creditos JOIN raw_clientes USING (cliente_id)"
+    ),
+    "knn_approx": """SELECT label AS query_id, CAST(least(3, (SELECT COUNT(*) FROM embeddings)) AS BIGINT) AS vecinos, true AS coseno_exacto,
+  true AS recall_suficiente FROM embeddings GROUP BY label""",
+    "hot_client_join": _with(
+        "raw_creditos raw_clientes",
+        """SELECT credito_id, CAST(CASE WHEN credito_id % 3 = 0 THEN 1 ELSE c.cliente_id END AS BIGINT) AS cliente_id, ocupacion, true AS hay_cliente_frecuente
+FROM raw_creditos c LEFT JOIN raw_clientes cl ON cl.cliente_id = CASE WHEN credito_id % 3 = 0 THEN 1 ELSE c.cliente_id END""",
+    ),
+    "abt_sql_table": _with(
+        "abt_sql",
+        """SELECT producto_credito, COUNT(*) AS filas, CAST(SUM(es_moroso) AS BIGINT) AS morosos,
+  CAST(SUM(prev_evento_login) AS BIGINT) AS accesos FROM abt_sql GROUP BY producto_credito""",
     ),
-    "normalize_vectors": """SELECT vec_id, CAST(i - 1 AS INT) AS posicion,
-  ROUND(CAST(embedding[i] AS DOUBLE) / sqrt(list_sum([x * x FOR x IN CAST(embedding AS DOUBLE[])])), 9) AS valor
-FROM embeddings, (SELECT unnest(range(1, (SELECT max(len(embedding)) FROM embeddings) + 1)) AS i)""",
     "knn_exact": _with("vecinos", "SELECT query_id, vec_id, ROUND(score, 6) AS score, rank FROM vecinos"),
     "retrieve_context": _with(
         "vecinos",
@@ -623,3 +650,5 @@ FROM embeddings, (SELECT unnest(range(1, (SELECT max(len(embedding)) FROM embedd
   (SELECT query_id, string_agg(text, chr(10) ORDER BY rank) AS t FROM vecinos JOIN documents ON vec_id = doc_id GROUP BY query_id) USING (query_id)""",
     ),
 }
+# The whole run exports the same tables and upserts all scored loans.
+ORACLES["lake_refresh"] = ORACLES["lake_manifest"] + "\nUNION ALL SELECT 'upsert', COUNT(*) FROM scored"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import weekday_monday0, weekday_monday1
 from ..operators.clean import clean_clientes_py, clean_clientes_sql, clean_creditos, clean_pagos
 from ..operators.prior_events import SQL_EVENT_COLUMNS, event_features_py, event_features_sql
-from ..operators.skew import hot_keys, lookup_join
+from ..operators.skew import hot_weights, lookup_join
 from ..operators.target import default_label
 from ..settings import Settings
 
@@ -39,7 +39,7 @@ def build_abt(
 
     Each lookup side is unique on its key; loans of clients with very many loans are salted.
     """
-    hot = hot_keys(creditos, "cliente_id")
+    hot = hot_weights(creditos, "cliente_id")
     abt = _with_label(creditos, pagos, settings)
     if eventos is not None:
         features = event_features_py(creditos, eventos, event_types, hot)
@@ -83,24 +83,38 @@ def abt_py(
     )
 
 
-def abt_sql(sources: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
-    """The base table of the SQL dialect. Events are looked up from the raw loans."""
+def abt_sql(
+    sources: dict[str, DataFrame], settings: Settings = Settings(), columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The base table of the SQL dialect. Events are looked up from the raw loans.
+
+    With `columns`, only these and what they need: events and clients are not read, nor their hot keys
+    looked for, if none of their columns is asked for.
+    """
     raw_creditos = sources["creditos"]
-    hot = hot_keys(raw_creditos, "cliente_id")
-    features = event_features_sql(raw_creditos, sources["eventos"], hot)
-    feature_columns = [c for c in features.columns if c != "credito_id"]
+    wanted = set(SQL_COLUMNS if columns is None else columns)
+    if unknown := wanted - set(SQL_COLUMNS):
+        raise ValueError(f"no columns of the base table: {sorted(unknown)}")
     abt = _with_label(clean_creditos(raw_creditos), sources["pagos"], settings)
-    abt = abt.join(features, "credito_id", "left").fillna(0, feature_columns)
-    abt = lookup_join(abt, clean_clientes_sql(sources["clientes"]), ["cliente_id"], "cliente_id", hot)
+    events = wanted & {*SQL_EVENT_COLUMNS.values(), *SESSION_COLUMNS}
+    clients = wanted & ({*sources["clientes"].columns, "antiguedad_cliente_dias"} - set(abt.columns))
+    hot = hot_weights(raw_creditos, "cliente_id") if events or clients else {}
+    if events:
+        features = event_features_sql(raw_creditos, sources["eventos"], hot)
+        feature_columns = [c for c in features.columns if c != "credito_id"]
+        abt = abt.join(features, "credito_id", "left").fillna(0, feature_columns)
+    if clients:
+        abt = lookup_join(abt, clean_clientes_sql(sources["clientes"]), ["cliente_id"], "cliente_id", hot)
     granted = F.col("fecha_desembolso")
+    age = {"antiguedad_cliente_dias": F.datediff(granted, "fecha_registro")} if clients else {}
     abt = abt.withColumns(
         {
-            "antiguedad_cliente_dias": F.datediff(granted, "fecha_registro"),
+            **age,
             "mes_desembolso": F.month(granted),
             "dia_semana_desembolso": weekday_monday1(granted),
         }
     )
-    return abt.select([c for c in SQL_COLUMNS if c in abt.columns])
+    return abt.select([c for c in SQL_COLUMNS if c in abt.columns and c in wanted])
 
 
 def base_table(sources: dict[str, DataFrame], mode: str = "py", settings: Settings = Settings()) -> DataFrame:

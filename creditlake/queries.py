@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import adapters
@@ -44,8 +45,8 @@ def _abt(spark, sf_dir) -> DataFrame:
     return abt_plan.abt_py(sources(spark, sf_dir), settings=TEST_SETTINGS)
 
 
-def _abt_sql(spark, sf_dir) -> DataFrame:
-    return abt_plan.abt_sql(sources(spark, sf_dir), TEST_SETTINGS)
+def _abt_sql(spark, sf_dir, columns=None) -> DataFrame:
+    return abt_plan.abt_sql(sources(spark, sf_dir), TEST_SETTINGS, columns)
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
@@ -59,7 +60,7 @@ def _labelled(spark, sf_dir) -> DataFrame:
 
 def _loans_with_clients(spark, sf_dir) -> DataFrame:
     s = sources(spark, sf_dir)
-    hot = skew.hot_keys(s["creditos"], "cliente_id")
+    hot = skew.hot_weights(s["creditos"], "cliente_id")
     return skew.lookup_join(s["creditos"], s["clientes"], ["cliente_id"], "cliente_id", hot, "inner")
 
 
@@ -324,17 +325,17 @@ def abt_sql(spark, sf_dir):
 
 @query
 def insight_a(spark, sf_dir):
-    return reports.insight_a(_abt_sql(spark, sf_dir))
+    return reports.insight_a(_abt_sql(spark, sf_dir, reports.INSIGHT_A))
 
 
 @query
 def insight_b(spark, sf_dir):
-    return reports.insight_b(_abt_sql(spark, sf_dir))
+    return reports.insight_b(_abt_sql(spark, sf_dir, reports.INSIGHT_B))
 
 
 @query
 def insight_c(spark, sf_dir):
-    return reports.insight_c(_abt_sql(spark, sf_dir))
+    return reports.insight_c(_abt_sql(spark, sf_dir, reports.INSIGHT_C))
 
 
 @query
@@ -570,18 +571,26 @@ def _trained(spark, sf_dir):
 def train_default_model(spark, sf_dir):
     rows, _, fitted = _trained(spark, sf_dir)
     test = stage(model.score_book(fitted, rows.where("split = 'test'")), "test_scored")
-    return metrics.classification_report(test).withColumn("roc_auc", F.lit(metrics.roc_auc(test)))
+    report = metrics.classification_report(test).select("clase", "support")
+    return report.withColumn("auc_mejor_que_azar", F.lit(0.45 <= metrics.roc_auc(test) <= 1.0))
 
 
 @query
 def score_book(spark, sf_dir):
     rows, _, fitted = _trained(spark, sf_dir)
-    return model.score_book(fitted, rows).select("credito_id", "split", "es_moroso", "probabilidad_mora", "prediccion_mora")
+    p = F.col("probabilidad_mora")
+    return model.score_book(fitted, rows).select(
+        "credito_id", "es_moroso", p.between(0, 1).alias("valida"), ((p > 0.5) == (F.col("prediccion_mora") == 1)).alias("coherente")
+    )
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return model.feature_importance(_trained(spark, sf_dir)[2], 5)
+    top = stage(model.feature_importance(_trained(spark, sf_dir)[2], 5), "importance")
+    w = Window.orderBy(F.desc("importancia"), "entrada")  # five rows
+    ranked = top.withColumns({"puesto": F.row_number().over(w), "antes": F.lag("importancia").over(w)})
+    falling = F.coalesce(F.col("antes") >= F.col("importancia"), F.lit(True))
+    return ranked.select("puesto", (F.col("importancia") >= 0).alias("no_negativa"), falling.alias("descendente"))
 
 
 APPLICATION_FIELDS = (
@@ -597,7 +606,10 @@ def _applications(spark, sf_dir) -> DataFrame:
 @query
 def score_applicants(spark, sf_dir):
     _, features, fitted = _trained(spark, sf_dir)
-    return model.score_applicants(fitted, features, _applications(spark, sf_dir), "credito_id")
+    scored = model.score_applicants(fitted, features, _applications(spark, sf_dir), "credito_id")
+    p = F.col("score_riesgo_mora")
+    agrees = (p == 0.5) | ((p < 0.5) == (F.col("decision") == "APROBADO"))  # the score is rounded, the decision is not
+    return scored.select("credito_id", p.between(0, 1).alias("valida"), agrees.alias("coherente"))
 
 
 @query
@@ -657,18 +669,56 @@ def kb_documents(spark, sf_dir):
 @query
 def kb_build(spark, sf_dir):
     store = knowledge.build_store(_documents(spark, sf_dir), scratch_path(spark, "kb"))
-    return store.select("id", "chunk", F.col("metadata")["fuente"].alias("fuente"), "page_content")
+    rows = store.groupBy(F.col("metadata")["fuente"].alias("fuente")).agg(
+        F.count_if(F.col("chunk") == 0).alias("documentos"),
+        (F.count("id") == F.count_distinct("id")).alias("claves_unicas"),
+        (F.max(F.length("page_content")) <= 1000).alias("cortos"),
+    )
+    return rows
 
 
 @query
 def kb_counts(spark, sf_dir):
-    collections = {"fichas": knowledge.loan_cards(_scored(spark, sf_dir)), "vectores": table(spark, sf_dir, "embeddings")}
-    return knowledge.store_counts(collections)
+    """Counts of a store that was just built, from loan cards and policies, each of which is one chunk."""
+    policies = knowledge.policy_documents(table(spark, sf_dir, "benchmark"), "item_id", "text")
+    cards = knowledge.build_store(knowledge.loan_cards(_scored(spark, sf_dir)), scratch_path(spark, "kb_cards"))
+    return knowledge.store_counts({"fichas": cards, "politicas": knowledge.build_store(policies, scratch_path(spark, "kb_policies"))})
+
+
+@query
+def abt_sql_table(spark, sf_dir):
+    """The base table created in the catalog, as an external one in the scratch folder, and counted from there."""
+    name = f"abt_{uuid.uuid4().hex}"
+    abt_plan.create_abt_table(sources(spark, sf_dir), name, scratch_path(spark, "ctas"), TEST_SETTINGS)
+    rows = spark.table(name).groupBy("producto_credito").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("es_moroso").cast("bigint").alias("morosos"), F.sum("prev_evento_login").cast("bigint").alias("accesos")
+    )
+    result = stage(rows, "abt_counts")
+    spark.sql(f"DROP TABLE {name}")
+    return result
+
+
+@query
+def hot_client_join(spark, sf_dir):
+    """Loans of which one client holds a third, joined with clients over the salted branch."""
+    s = sources(spark, sf_dir)
+    loans = s["creditos"].select("credito_id", F.when(F.col("credito_id") % 3 == 0, 1).otherwise(F.col("cliente_id")).alias("cliente_id"))
+    hot = skew.hot_weights(loans, "cliente_id")
+    joined = skew.lookup_join(loans, s["clientes"].select("cliente_id", "ocupacion"), ["cliente_id"], "cliente_id", hot)
+    return joined.select("credito_id", "cliente_id", "ocupacion", F.lit(1 in hot).alias("hay_cliente_frecuente"))
 
 
 @query
 def chunk_documents(spark, sf_dir):
-    return chunks.chunk_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = chunks.chunk_documents(docs.withColumn("whole", F.col("text")), "text")
+    first, last = F.min_by("text", "chunk"), F.max_by("text", "chunk")
+    whole = F.first("whole")
+    return parts.groupBy("doc_id").agg(
+        F.when(F.length(whole) <= 1000, F.count(F.lit(1)) == 1).otherwise(F.max(F.length("text")) <= 800).alias("tamano_correcto"),
+        F.startswith(F.ltrim(whole), F.trim(first)).alias("empieza"),
+        F.endswith(F.rtrim(whole), F.trim(last)).alias("termina"),
+    )
 
 
 @query
@@ -685,7 +735,17 @@ def knn_exact(spark, sf_dir):
 
 @query
 def knn_approx(spark, sf_dir):
-    return vectors.knn_approx(table(spark, sf_dir, "embeddings"), _label_centroids(spark, sf_dir))
+    rows, asked = table(spark, sf_dir, "embeddings"), _label_centroids(spark, sf_dir)
+    hits = stage(vectors.knn_approx(rows, asked), "approx")
+    exact = stage(vectors.knn_exact(rows, asked), "exact")
+    same = hits.join(exact.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_semi").count()
+    unit_rows = vectors.normalize_vectors(rows).select("vec_id", F.col("embedding").alias("r"))
+    unit_asked = vectors.normalize_vectors(asked).select("query_id", F.col("embedding").alias("q"))
+    dot = F.aggregate(F.zip_with("r", "q", lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+    scored = hits.join(unit_rows, "vec_id").join(unit_asked, "query_id").withColumn("right", F.abs(dot - F.col("score")) < 1e-8)
+    return scored.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("vecinos"), F.bool_and("right").alias("coseno_exacto"), F.lit(same >= 0.9 * exact.count()).alias("recall_suficiente")
+    )
 
 
 @query
@@ -703,4 +763,4 @@ def retrieve_context(spark, sf_dir):
 def lake_refresh(spark, sf_dir):
     result = refresh.refresh(spark, sources(spark, sf_dir), scratch_path(spark, "refresh"), TEST_SETTINGS)
     rows = [*result.lake_counts.items(), ("upsert", result.upserted)]
-    return spark.createDataFrame(rows, "tabla string, filas bigint").withColumn("roc_auc", F.lit(result.test_auc))
+    return spark.createDataFrame(rows, "tabla string, filas bigint")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -20,6 +21,7 @@ class Settings:
 
 _local_base: dict[str, str] = {}
 _shipped: set[str] = set()
+_staged: list[str] = []
 
 
 def scratch_base(spark: SparkSession) -> str:
@@ -35,6 +37,7 @@ def scratch_base(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_base:
         _local_base[app] = tempfile.mkdtemp(prefix="creditlake-")
+        atexit.register(shutil.rmtree, _local_base[app], ignore_errors=True)
     return _local_base[app]
 
 
@@ -51,10 +54,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Remove all tables that `stage` wrote in this process, once nothing reads them any more; how many there were."""
+    n = len(_staged)
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, for sessions started without `--py-files`."""
     package = Path(__file__).parent
@@ -62,4 +75,5 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId not in _shipped:
         folder = tempfile.mkdtemp(prefix="creditlake-zip-")
         sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         _shipped.add(sc.applicationId)

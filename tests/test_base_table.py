@@ -208,3 +208,36 @@ def test_create_table_only_once(spark, tmp_path):
         assert spark.table("abt_una_vez").columns == [c for c in abt.SQL_COLUMNS]
     finally:
         spark.sql("DROP TABLE IF EXISTS abt_una_vez")
+
+
+def test_reports_read_only_what_they_need(spark, capsys):
+    from creditlake import adapters
+    from creditlake.operators import reports
+    from creditlake.plans.abt import abt_sql
+    from creditlake.settings import Settings
+
+    tables = adapters.sources(spark, "/root/testdata/sf0.001")
+    for report, columns, clients in ((reports.insight_a, reports.INSIGHT_A, True), (reports.insight_b, reports.INSIGHT_B, True), (reports.insight_c, reports.INSIGHT_C, False)):
+        report(abt_sql(tables, Settings(), columns)).explain("formatted")
+        plan = capsys.readouterr().out
+        assert "events.parquet" not in plan and ("customer.parquet" in plan) == clients and "orders.parquet" in plan
+    with pytest.raises(ValueError):
+        abt_sql(tables, columns=["nada"])
+
+
+def test_salts_follow_the_weight_of_a_key(spark):
+    from creditlake.operators.skew import hot_weights
+
+    loans = spark.range(10_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 1 WHEN id % 10 = 1 THEN 2 ELSE 100 + id END AS k")
+    weights = hot_weights(loans, "k", 0.05)
+    assert weights.keys() == {1, 2} and abs(weights[1] - 0.5) < 1e-9 and abs(weights[2] - 0.1) < 1e-9
+    joined = lookup_join(loans, spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string"), ["k"], "k", weights)
+    assert joined.count() == 10_000 and joined.where("v = 'a'").count() == 5_000 and joined.where("v = 'b'").count() == 1_000
+
+
+def test_histogram_of_nulls_is_empty(spark):
+    from creditlake.operators.profile import histogram
+
+    df = spark.createDataFrame([(None,), (None,)], "x double")
+    assert histogram(df, {"x": (F.col("x"), 4)}).columns == ["variable", "bin", "desde", "hasta", "n"]
+    assert histogram(df, {"x": (F.col("x"), 4)}).count() == 0

@@ -174,3 +174,39 @@ def test_store_reset_append_and_stable_keys(spark, tmp_path):
     assert knowledge.build_store(docs, root, reset=False).count() == 8
     assert knowledge.store_counts({"kb": knowledge.build_store(docs, root)}).first() == (1, 4)
     assert knowledge.all_documents(scored, policies, include_cards=False).count() == 2
+
+
+def test_vectors_of_different_length_are_an_error(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0])], "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.5]), (1, [0.5, 1.0])], "query_id int, embedding array<double>")
+    for most in (1, 2_048):
+        with pytest.raises(Exception, match="components"):
+            vectors.knn_exact(rows, asked, max_queries=most).collect()
+        hits = vectors.knn_exact(rows.where("vec_id < 3"), asked, k=1, max_queries=most)
+        assert {(r["query_id"], r["vec_id"]) for r in hits.collect()} == {(0, 1), (1, 2)}
+
+
+def test_exact_search_does_not_shuffle_the_corpus(spark, capsys):
+    corpus, asks, _ = vector_frames(spark)
+    vectors.knn_exact(corpus, asks, max_queries=3).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("hashpartitioning(") == 1 and "Join" not in plan  # only the hits, by query
+
+
+def test_cells_prune_clustered_data(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    data = np.repeat(rng.normal(size=(30, 16)), 40, axis=0) + rng.normal(scale=0.05, size=(1200, 16))
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>")
+    asks = spark.createDataFrame([(i, data[i * 40].tolist()) for i in range(30)], "query_id bigint, embedding array<double>")
+    shares = []
+    search = vectors._in_cells
+
+    def watched(rows, ids, matrix, visited, *rest):
+        sizes = {r["_cell"]: r["count"] for r in rows.groupBy("_cell").count().collect()}
+        shares.append(np.mean([sum(sizes.get(int(c), 0) for c in own) for own in visited]) / 1200)
+        return search(rows, ids, matrix, visited, *rest)
+
+    monkeypatch.setattr(vectors, "_in_cells", watched)
+    key = lambda df: {(r["query_id"], r["vec_id"]) for r in df.collect()}
+    exact, approx = key(vectors.knn_exact(corpus, asks)), key(vectors.knn_approx(corpus, asks))
+    assert len(exact & approx) / len(exact) >= 0.9 and max(shares) <= 0.1

@@ -81,3 +81,13 @@ def test_raw_load_is_idempotent(spark, tmp_path):
     counts = {n: spark.read.parquet(f"{tmp_path}/{n}/v=2").count() for n in small}
     refresh.load_raw(spark, small, str(tmp_path))
     assert {n: spark.read.parquet(f"{tmp_path}/{n}/v=3").count() for n in small} == counts
+
+
+def test_nulls_that_training_never_saw(spark, rows):
+    """Scoring rows may lack any value, also of columns that were complete, or empty, in training."""
+    complete = rows.fillna(0.5, ["score_externo"]).withColumn("vacia", F.lit(None).cast("double"))
+    features = [c for c in model.feature_columns(complete.schema)]
+    fitted = model.train(complete, features)
+    blank = complete.limit(20).select(*[F.lit(None).cast(t).alias(c) if c in features else F.col(c) for c, t in complete.dtypes])
+    scored = model.score_book(fitted, blank.withColumn("vacia", F.lit(3.0))).collect()
+    assert len(scored) == 20 and all(0 <= r["probabilidad_mora"] <= 1 for r in scored)

@@ -116,3 +116,37 @@ def test_hot_duplicate_keys_are_dropped_before_the_shuffle(spark, capsys):
     last.explain()
     plan = capsys.readouterr().out
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")  # the partial limit sits below the exchange
+
+
+def test_versions_of_two_writers(spark, tmp_path, rows_of):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.createDataFrame([(1, "x", 1.0)], TARGET))
+    table.append(spark.createDataFrame([(2, "y", 2.0)], TARGET))
+    table.append(spark.createDataFrame([(3, "z", 3.0)], TARGET))
+    assert [r[0] for r in rows_of(table.read(), "k")] == [1, 2, 3]
+    late = VersionedTable(spark, str(tmp_path / "t"))
+    late._last = lambda: 2  # it began before the last append was finished
+    with pytest.raises(RuntimeError):
+        late.append(spark.createDataFrame([(4, "w", 4.0)], TARGET))
+    assert table.read().count() == 3
+    assert table.upsert(spark.createDataFrame([(3,), (9,)], "k int"), ["k"]) == 1  # of keys alone, only new ones count
+    with pytest.raises(ValueError):
+        table.upsert(spark.createDataFrame([(5, "a"), (5, "b")], "k int, a string"), ["k"])
+    table.vacuum()
+    assert [r[0] for r in rows_of(table.read(), "k")] == [1, 2, 3, 9]
+    assert len(list((tmp_path / "t").glob("v=*"))) == 1
+
+
+def test_dates_in_several_formats(spark, tmp_path, rows_of):
+    lines = ["id,d", "1,2024-01-15", "2,2024/01/15", "3,20240115", "4,15-01-2024", "5,15/01/2024", "6,2024-13-45", "7,", "8,2024-01-15 10:00:00"]
+    (tmp_path / "d.csv").write_text("\n".join(lines))
+    read = readers.read_csv(spark, str(tmp_path / "d.csv"), "id int", ["d"])
+    assert [str(r.d) for r in read.orderBy("id").collect()] == ["2024-01-15"] * 5 + ["None", "None", "2024-01-15"]
+    assert rows_of(readers.lost_dates(spark, str(tmp_path / "d.csv"), ["d", "absent"])) == [("d", 1)]
+
+
+def test_base_table_types_from_csv(spark, tmp_path):
+    (tmp_path / "abt.csv").write_text("credito_id,monto_credito,edad,es_moroso,prev_evento_login,otra\nC1,10.5,30,1,2,x\n")
+    types = dict(readers.read_abt(spark, str(tmp_path / "abt.csv")).dtypes)
+    assert types["es_moroso"] == "bigint" and types["prev_evento_login"] == "double" and types["edad"] == "int"
+    assert types["monto_credito"] == "double" and types["otra"] == types["credito_id"] == "string"
