@@ -12,6 +12,7 @@ them a table scan or a `settings.stage`d result, not a long plan.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+#: Sketches are merged in so many tasks, and the merged ones combined on the driver.
+GROUPS = 64
 GRID = 1_000
 MAX_VALUES_ON_DRIVER = 100_000
 
@@ -44,25 +47,30 @@ def order_statistics(
     to_python = {k: _python_type(types[k]) for k in columns}
     # One text literal: building the array element by element costs a driver call each.
     grid = "array(" + ", ".join(f"{i / GRID}D" for i in range(GRID + 1)) + ")"
-    sketch = (
+    parts = (
         df.select([c.alias(names[k]) for k, c in columns.items()])
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part"))
         .agg(
             *[F.count(names[k]).alias(f"n_{k}") for k in columns],
             *[F.expr(f"percentile_approx({names[k]}, {grid}, {ACCURACY})").alias(f"g_{k}") for k in columns],
         )
-        .first()
+        .collect()
     )
-    counts = {k: sketch[f"n_{k}"] for k in columns}
+    sketches = {k: [(p[f"n_{k}"], p[f"g_{k}"]) for p in parts if p[f"n_{k}"]] for k in columns}
+    counts = {k: sum(n for n, _ in sketches[k]) for k in columns}
     found: dict[str, dict[int, object]] = {k: {} for k in columns}
     spans: dict[tuple, list[int]] = {}
+    wanted = {k: sorted({r for r in ranks[k](n) if 0 <= r < n}) for k, n in counts.items()}
+    # The limit holds for all brackets together.
+    each = values_limit / max(1, sum(map(len, wanted.values())))
     for k, n in counts.items():
-        for r in sorted({r for r in ranks[k](n) if 0 <= r < n}):
-            lo, hi, width = _bracket(r, n, sketch[f"g_{k}"])
+        bracket = _Brackets(sketches[k]) if n else None
+        for r in wanted[k]:
+            lo, hi, width = bracket.around(r)
             if lo == hi:
                 found[k][r] = lo
             else:
-                few_values = width * n <= values_limit or width >= 1
-                spans.setdefault((k, lo, hi, few_values), []).append(r)
+                spans.setdefault((k, lo, hi, width * n <= each or width >= 1), []).append(r)
     _look_up(df, columns, to_python, {s: rs for s, rs in spans.items() if s[3]}, found)
     _narrow(df, columns, {s: rs for s, rs in spans.items() if not s[3]}, found, values_limit)
     return {k: (counts[k], found[k]) for k in columns}
@@ -74,15 +82,41 @@ def _python_type(spark_type: str) -> Callable:
     return Decimal if spark_type.startswith("decimal") else int
 
 
-def _bracket(rank: int, n: int, grid_values: Sequence) -> tuple:
-    """Values that surely enclose the wanted rank, and the share of the rows strictly between them.
+class _Brackets:
+    """Values that surely enclose a rank, from the quantiles of several parts of the rows.
 
-    The sketch is off by at most n / ACCURACY ranks.
+    A part's sketch is off by at most a part in ACCURACY of its rows; its ends are exact. The bounds of the parts add up.
     """
-    share, slack = rank / n, 2 / ACCURACY + 1 / n
-    lo = max(math.floor((share - slack) * GRID) - 1, 0)
-    hi = min(math.ceil((share + slack) * GRID) + 1, GRID)
-    return _outwards(grid_values[lo], -1), _outwards(grid_values[hi], 1), (hi - lo) / GRID + 2 * slack
+
+    def __init__(self, parts: list[tuple[int, Sequence]]):
+        self.parts = parts
+        self.n = sum(n for n, _ in parts)
+        self.values = sorted({v for _, grid in parts for v in grid})
+
+    def _rows(self, v, or_equal: bool) -> tuple[float, float]:
+        """The least and the most rows that can be below `v`, or equal to it."""
+        least = most = 0.0
+        for n, grid in self.parts:
+            i = bisect_right(grid, v) if or_equal else bisect_left(grid, v)
+            slack = n / ACCURACY + 1
+            if i == len(grid):
+                least, most = least + (n if or_equal else max(0.0, n - slack)), most + n
+            elif i:
+                least += max(0.0, (i - 1) * n / GRID - slack)
+                most += min(n, i * n / GRID + slack)
+        return least, most
+
+    def around(self, rank: int) -> tuple:
+        """The two ends, and the share of the rows strictly between them at most."""
+        values = self.values
+        # The last value with no more than `rank` rows below it, and the first with more than `rank` up to it.
+        at = bisect_right(values, rank, key=lambda v: self._rows(v, False)[1]) - 1
+        to = bisect_left(values, rank + 1, key=lambda v: self._rows(v, True)[0])
+        lo, hi = values[max(at, 0)], values[min(to, len(values) - 1)]
+        width = max(0.0, self._rows(hi, False)[1] - self._rows(lo, True)[0]) / self.n
+        if lo == hi:
+            return lo, hi, 0.0
+        return _outwards(lo, -1), _outwards(hi, 1), width
 
 
 def _outwards(value, direction: int):

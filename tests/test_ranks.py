@@ -86,3 +86,15 @@ def test_stratified_split_sizes_and_stability(spark, same_rows):
     brute = {y: sorted((h, i) for i, t, h in rows if t == y) for y in (0, 1)}
     expected = {i for y in (0, 1) for _, i in brute[y][: round(0.2 * len(brute[y]))]}
     assert {r["id"] for r in split.where("split = 'test'").collect()} == expected
+
+
+def test_many_ranks_over_many_partitions(spark):
+    """Brackets from the sketches of many groups of tasks, heavy ties included, under a small limit in all."""
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.normal(size=9_000).round(3), np.full(9_000, 0.25), rng.integers(-5, 5, 2_000)])
+    df = spark.createDataFrame([(float(x),) for x in rng.permutation(data)], "x double").repartition(90)
+    wanted = sorted({len(data) * i // 100 for i in range(100)} | {len(data) - 1})
+    for limit in (100_000, 500):
+        n, at = ranks.order_statistics(df, {"x": F.col("x")}, {"x": lambda n: wanted}, limit)["x"]
+        ordered = np.sort(data)
+        assert n == len(data) and all(at[r] == ordered[r] for r in wanted)
