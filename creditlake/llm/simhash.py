@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import components, small_batches
+from creditlake.llm.common import components, may_hold, small_batches
 from creditlake.settings import stage
 
 WORDS = 3
@@ -208,8 +208,8 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PR
             found = [shingle_set(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
 
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct()
-    known = rows.join(involved, F.col("id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles array<int>")
+    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
+    known = rows.where(may_hold(involved)(F.col("id"))).join(involved, F.col("id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles array<int>")
     known = stage(known.dropDuplicates(["id"]), "shingles")
     first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
@@ -223,11 +223,14 @@ def keep_one(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     """The rows of `docs`, of each group of equal or similar texts only the one with the smallest doc_id.
 
     Groups are the components of `similar_texts`; equal texts are one from the start. Null texts count as empty. A null
-    doc_id comes last; rows with equal id and text are copies, of which one stays. Texts are shuffled twice: for the
-    shingles of candidates, and to meet the narrow table of what stays, in which a text with many copies is one row. All
-    columns are kept. An empty table gives an empty result.
+    doc_id comes last; rows with equal id and text are copies, of which one stays. Decisions are made on narrow tables of
+    digests. A fixed-size filter then tells the rows that surely stay, which are not shuffled, from those that may go or
+    repeat, which meet the decisions. All columns are kept. An empty table gives an empty result.
     """
-    texts = docs.select(text_key(F.col("text")).alias("key"), "doc_id").groupBy("key").agg(F.min("doc_id").alias("first"))
+    pair = lambda key, doc_id: F.md5(F.concat(key, F.lit("|"), F.coalesce(doc_id.cast("string"), F.lit("-"))))
+    own = text_key(F.col("text"))
+    narrow = stage(docs.select(own.alias("key"), "doc_id", pair(own, F.col("doc_id")).alias("pair")), "digests")
+    texts = narrow.groupBy("key").agg(F.min("doc_id").alias("first"))
     texts = stage(texts.withColumn("id", F.xxhash64("key")), "texts")
     joined = components(similar_texts(docs, similarity))
     members = texts.join(joined, F.col("id") == F.col("node")).select("id", "first", "component")
@@ -235,9 +238,12 @@ def keep_one(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
     chosen = best.select(F.col("best.id").alias("chosen"))
     dropped = members.select("id").join(chosen, F.col("id") == F.col("chosen"), "left_anti").withColumnRenamed("id", "gone")
     kept = texts.join(dropped, F.col("id") == F.col("gone"), "left_anti")
-    pair = lambda key, doc_id: F.md5(F.concat(key, F.lit("|"), F.coalesce(doc_id.cast("string"), F.lit("-"))))
     kept = kept.select(pair(F.col("key"), F.col("first")).alias("kept"))
-    rows = docs.select(F.struct("*").alias("doc"), pair(text_key(F.col("text")), F.col("doc_id")).alias("pair"))
-    rows = rows.join(kept, F.col("pair") == F.col("kept"))
-    number = F.row_number().over(Window.partitionBy("pair").orderBy("pair"))
-    return rows.withColumn("number", number).where("number = 1").select("doc.*")
+    counted = narrow.groupBy("pair").agg(F.count("*").alias("n")).join(kept, F.col("pair") == F.col("kept"), "left")
+    special = stage(counted.where("kept IS NULL OR n > 1").select("pair", F.col("kept").isNotNull().alias("stays")), "special")
+    rows = docs.select(F.struct("*").alias("doc"), pair(own, F.col("doc_id")).alias("own"))
+    rows = rows.withColumn("unsure", may_hold(special.select("pair"))(F.col("own")))
+    unsure = rows.where("unsure").join(special, F.col("own") == F.col("pair"), "left").where("stays IS NULL OR stays")
+    number = F.row_number().over(Window.partitionBy("own").orderBy("own"))
+    unsure = unsure.withColumn("number", number).where("number = 1 OR stays IS NULL")
+    return rows.where("NOT unsure").select("doc.*").union(unsure.select("doc.*"))
