@@ -13,6 +13,8 @@ from creditlake.settings import stage
 
 #: A text whose nearest profile is further than this is in no language that was learnt.
 LEAST_SCORE = 0.2
+#: Pieces held by a Python worker: fewer than alone, as workers of the stages before live on beside.
+PIECES = 150_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The index of the token files: doc_id, start, n_tokens, ids_crc32."""
-    return tokens.encode_documents(docs)
+    return tokens.encode_documents(docs, pieces=PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

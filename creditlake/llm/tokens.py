@@ -17,11 +17,13 @@ from creditlake.llm.common import partitions, small_batches, text_runs
 from creditlake.settings import scratch_path
 
 END_ID = 0
+#: Distinct pieces whose ids a Python worker holds, about 200 bytes each.
+PIECES = 800_000
 #: A space that no other character than white space follows: there, pieces do not encode alone.
 _LONE_SPACE = re.compile(r" (?!\S)")
 #: A word and signs after it, without the apostrophe, which may belong to the word.
 _WORD_AND_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, int], "Encoder"] = {}
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel ones
 
 SCHEMA = "doc_id long, part int, first long, n_tokens int, ids array<int>"
@@ -41,7 +43,7 @@ class Encoder:
     rest are encoded again each time.
     """
 
-    def __init__(self, file: str, most: int = 800_000):
+    def __init__(self, file: str, most: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(file)
@@ -126,14 +128,14 @@ class _Either(dict):
         return self.other[key]
 
 
-def _encoder(file: str) -> Encoder:
+def _encoder(file: str, most: int) -> Encoder:
     """One encoder for each Python worker, which runs many tasks."""
-    if file not in _encoders:
-        _encoders[file] = Encoder(file)
-    return _encoders[file]
+    if (file, most) not in _encoders:
+        _encoders[file, most] = Encoder(file, most)
+    return _encoders[file, most]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, parts: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, parts: int | None = None, pieces: int = PIECES) -> None:
     """Encode whole texts and write one row for each document as ORC, ordered by doc_id over all files.
 
     Texts are range partitioned by id, then encoded, so they are shuffled once and each file holds a range of ids. A
@@ -154,7 +156,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(file)
+        encoder = _encoder(file, pieces)
         end = np.array([end_id], encoder.kind).tobytes()
         part, first = TaskContext.get().partitionId(), 0
         for b in small_batches(batches):
@@ -215,9 +217,9 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("doc_id", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, pieces: int = PIECES) -> DataFrame:
     """Write the ids of `docs` under `path`, by default in the shared folder, and return their index from the files."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "tokens")
-    write_tokens(docs, path, tokenizer)
+    write_tokens(docs, path, tokenizer, pieces=pieces)
     return token_index(spark, path)
