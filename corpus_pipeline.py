@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditlake.llm import decontaminate, langid, mixing, simhash, tokens
-from creditlake.llm.common import in_training, table
+from creditlake.llm.common import in_training, prepare, table
 from creditlake.settings import stage
 
 #: A text whose nearest profile is further than this is in no language that was learnt.
@@ -19,6 +19,7 @@ PIECES = 150_000
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language learnt from the table itself; texts without letters and unknown languages go."""
+    prepare(spark)
     profiles = langid.learn_profiles(docs, in_training("doc_id"))
     rows = docs.select(F.struct("*").alias("doc"), "text")
     found = langid.identify(rows, profiles)
@@ -27,6 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group of equal or similar texts."""
+    prepare(spark)
     return simhash.keep_one(docs)
 
 
@@ -42,6 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The index of the token files: doc_id, start, n_tokens, ids_crc32."""
+    prepare(spark)
     return tokens.encode_documents(docs, pieces=PIECES)
 
 

@@ -16,9 +16,22 @@ from creditlake.settings import ship_package, stage
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers, and have Arrow batches of 2,000 rows where the session has the default of 10,000.
+
+    Ten thousand long texts are too much for each of the several Python workers of a small executor.
+    """
+    ship_package(spark)
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; only Spark's reader touches the path."""
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
