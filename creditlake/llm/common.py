@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,13 +110,8 @@ def components(links: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def may_hold(ids: DataFrame, bits: int = 1 << 26) -> Callable[[Column], Column]:
-    """A test for a column that is true for all values of the only column of `ids`, and for few others.
-
-    A Bloom filter of a fixed size, `bits` in all, whatever the number of ids: with more ids it lets more pass, and loses
-    none. Tasks set bits, the driver gets the merged bitmaps (8 MB by default) and broadcasts them. Rows that pass still
-    have to be joined with `ids`; those that do not are spared the shuffle.
-    """
+def id_bits(ids: DataFrame, bits: int = 1 << 26) -> tuple[Broadcast, Callable[[Column], list[Column]]]:
+    """A bitmap for the only column of `ids`, and the two places of a value in it; see `may_hold`."""
     spark = ids.sparkSession
     spots = lambda c: [F.pmod(F.xxhash64(c, F.lit(s)), F.lit(bits)) for s in (1, 2)]
     places = ids.select(F.explode(F.array(*spots(F.col(ids.columns[0])))).alias("at")).select((F.col("at") + 1).alias("at"))
@@ -123,12 +119,25 @@ def may_hold(ids: DataFrame, bits: int = 1 << 26) -> Callable[[Column], Column]:
     merged = np.zeros(bits // 8, np.uint8)
     for n, part in maps.collect():
         merged[(n - 1) * 4096 : n * 4096] = np.frombuffer(part, np.uint8)[: len(merged) - (n - 1) * 4096]
-    shared = spark.sparkContext.broadcast(merged)
+    return spark.sparkContext.broadcast(merged), spots
+
+
+def both_set(bitmap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (bitmap[a >> 3] >> (a & 7) & bitmap[b >> 3] >> (b & 7) & 1).astype(bool)
+
+
+def may_hold(ids: DataFrame, bits: int = 1 << 26) -> Callable[[Column], Column]:
+    """A test for a column that is true for all values of the only column of `ids`, and for few others.
+
+    A Bloom filter of a fixed size, `bits` in all, whatever the number of ids: with more ids it lets more pass, and loses
+    none. Tasks set bits, the driver gets the merged bitmaps (8 MB by default) and broadcasts them. Rows that pass still
+    have to be joined with `ids`; those that do not are spared the shuffle.
+    """
+    shared, spots = id_bits(ids, bits)
 
     @F.pandas_udf("boolean")
     def held(a: pd.Series, b: pd.Series) -> pd.Series:
-        found = [shared.value[x.to_numpy() >> 3] >> (x.to_numpy() & 7) & 1 for x in (a, b)]
-        return pd.Series((found[0] & found[1]).astype(bool))
+        return pd.Series(both_set(shared.value, a.to_numpy(), b.to_numpy()))
 
     return lambda c: held(*spots(c))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import components, may_hold, small_batches
+from creditlake.llm.common import both_set, components, id_bits, may_hold, small_batches
 from creditlake.settings import stage
 
 WORDS = 3
@@ -203,13 +203,18 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PR
     pairs = pairs.union(many.select(F.greatest("id", "other"), F.least("id", "other"))).distinct()
     pairs = stage(pairs, "pairs")
 
+    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
+    shared, spots = id_bits(involved)
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
+            b = b.filter(pa.array(both_set(shared.value, b.column(2).to_numpy(), b.column(3).to_numpy())))
             found = [shingle_set(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
 
-    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
-    known = rows.where(may_hold(involved)(F.col("id"))).join(involved, F.col("id") == F.col("of"), "left_semi").mapInArrow(sets, "id long, shingles array<int>")
+    # Texts that surely are in no pair are left out where they are read; no text is shuffled.
+    first, second = spots(F.col("id"))
+    known = rows.select("id", "text", first.alias("s1"), second.alias("s2")).mapInArrow(sets, "id long, shingles array<int>")
     known = stage(known.dropDuplicates(["id"]), "shingles")
     first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
