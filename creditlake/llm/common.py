@@ -110,16 +110,21 @@ def components(links: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def id_bits(ids: DataFrame, bits: int = 1 << 26) -> tuple[Broadcast, Callable[[Column], list[Column]]]:
-    """A bitmap for the only column of `ids`, and the two places of a value in it; see `may_hold`."""
-    spark = ids.sparkSession
-    spots = lambda c: [F.pmod(F.xxhash64(c, F.lit(s)), F.lit(bits)) for s in (1, 2)]
-    places = ids.select(F.explode(F.array(*spots(F.col(ids.columns[0])))).alias("at")).select((F.col("at") + 1).alias("at"))
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """So many bits as bytes, with those set whose numbers are in the only column of `places`."""
+    places = places.select((F.col(places.columns[0]) + 1).alias("at"))
     maps = places.groupBy(F.bitmap_bucket_number("at").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     merged = np.zeros(bits // 8, np.uint8)
     for n, part in maps.collect():
         merged[(n - 1) * 4096 : n * 4096] = np.frombuffer(part, np.uint8)[: len(merged) - (n - 1) * 4096]
-    return spark.sparkContext.broadcast(merged), spots
+    return merged
+
+
+def id_bits(ids: DataFrame, bits: int = 1 << 26) -> tuple[Broadcast, Callable[[Column], list[Column]]]:
+    """A bitmap for the only column of `ids`, and the two places of a value in it; see `may_hold`."""
+    spots = lambda c: [F.pmod(F.xxhash64(c, F.lit(s)), F.lit(bits)) for s in (1, 2)]
+    places = ids.select(F.explode(F.array(*spots(F.col(ids.columns[0])))).alias("at"))
+    return ids.sparkSession.sparkContext.broadcast(bitmap(places, bits)), spots
 
 
 def both_set(bitmap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

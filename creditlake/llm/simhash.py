@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import both_set, components, id_bits, may_hold, small_batches
+from creditlake.llm.common import bitmap, both_set, components, id_bits, may_hold, small_batches
 from creditlake.settings import stage
 
 WORDS = 3
@@ -133,6 +135,9 @@ def as_hex(bits: Column) -> Column:
 PRINTS = 6
 SIMILAR = 0.8
 SHINGLE = 5
+#: About so many texts tell which shingles are common, and so many of those are held. They change the cost, not the result.
+SAMPLE = 5_000
+COMMON = 100_000
 
 
 def word_prints(text: str, prints: int = PRINTS) -> list[int]:
@@ -168,14 +173,58 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
+def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many of a set's shingles, rare ones first, that two sets of the given Jaccard similarity share one at least.
+
+    `common` are shingles known to be common, in order, with their counts. The order is the same for all sets. Sets that are
+    similar have at least `similarity` of the shingles of either in common, so they share one among the first of both, of which
+    there is one more than may differ. An empty set has the prefix [0], as empty sets equal each other.
+    """
+    n = len(shingles)
+    if not n:
+        return np.zeros(1, np.int32)
+    rank = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        rank = np.where(common[at] == shingles, counts[at], 0)
+    mixed = shingles.view(np.uint32) * np.uint32(0x9E3779B1)  # odd, so no two shingles become one
+    return shingles[np.lexsort((mixed, rank))[: n - math.ceil(similarity * n - 1e-9) + 1]]
+
+
+def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles) of the texts whose id is in `ids`, and of few others; no text is shuffled."""
+    shared, spots = id_bits(ids)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            b = b.filter(pa.array(both_set(shared.value, b.column(2).to_numpy(), b.column(3).to_numpy())))
+            found = [shingle_set(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
+
+    first, second = spots(F.col("id"))
+    known = rows.select("id", "text", first.alias("s1"), second.alias("s2")).mapInArrow(sets, "id long, shingles array<int>")
+    return stage(known.dropDuplicates(["id"]), "shingles")
+
+
+def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    alike = F.when(union == 0, F.lit(1.0)).otherwise(common / union) >= similarity
+    return stage(both.where(alike).select("a", "b"), "similar")
+
+
 def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PRINTS, small: int = 16) -> DataFrame:
     """Links (a, b) between different texts whose shingles of five words have a Jaccard similarity of `similarity` or more.
 
-    a and b are xxhash64 of `text_key`. Candidates agree with each other under a covering mask of radius 2 in one of several
-    fingerprints of their words; each is verified on the shingles of the whole texts. Small buckets give all their pairs. In
-    larger ones, which are groups of copies of copies, each text meets the least and the largest of the bucket, which differ
-    from mask to mask, so groups hold together without their pairs.
+    a and b are xxhash64 of `text_key`. Links connect just the texts that are similar, directly or in steps. First candidates
+    agree with each other under a covering mask of radius 2 in one of several fingerprints of their words; each is verified
+    on the shingles of the whole texts. Small buckets give all their pairs; in larger ones each text meets the least and
+    the largest of the bucket. That finds most groups cheaply and promises nothing: `_missing` finds the rest exactly.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is above 0 and at most 1")
     masks = covering_masks(RADIUS)
     node = F.xxhash64(text_key(F.col("text")))
     rows = docs.select(node.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -204,24 +253,83 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PR
     pairs = stage(pairs, "pairs")
 
     involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
-    shared, spots = id_bits(involved)
+    found = _verified(pairs, _sets(rows, involved), similarity)
+    return found.union(_missing(rows, found, printed.count(), similarity))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _missing(rows: DataFrame, found: DataFrame, texts: int, similarity: float) -> DataFrame:
+    """Links that connect all similar texts which `found` does not connect yet: an exact join by prefixes of the shingle sets.
+
+    Similar texts share a shingle of their prefixes. The order of shingles, common ones last, comes from a sample and changes
+    the cost only. Texts meet in a bucket for each shingle in the prefix of two or more; pairs that sizes and places rule
+    out, or which are in one component already, are not compared, and all others are.
+    """
+    spark = rows.sparkSession
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            b = b.filter(pa.array(both_set(shared.value, b.column(2).to_numpy(), b.column(3).to_numpy())))
-            found = [shingle_set(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
+            for t in b.column(1).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t))], names=["token"])
 
-    # Texts that surely are in no pair are left out where they are read; no text is shuffled.
-    first, second = spots(F.col("id"))
-    known = rows.select("id", "text", first.alias("s1"), second.alias("s2")).mapInArrow(sets, "id long, shingles array<int>")
-    known = stage(known.dropDuplicates(["id"]), "shingles")
-    first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    alike = F.when(union == 0, F.lit(1.0)).otherwise(common / union) >= similarity
-    return both.where(alike).select("a", "b")
+    some = rows.where(F.pmod("id", F.lit(max(1, texts // SAMPLE))) == 0).dropDuplicates(["id"])
+    often = some.mapInArrow(sampled, "token int").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    often = sorted((r.token, r.n) for r in often.orderBy(F.desc("n"), "token").limit(COMMON).collect())
+    order = spark.sparkContext.broadcast((np.array([t for t, _ in often], np.int32), np.array([n for _, n in often], np.int64)))
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            sets = [shingle_set(t) for t in b.column(1).to_pylist()]
+            tokens = pa.array([prefix(s, similarity, *order.value) for s in sets], pa.list_(pa.int32()))
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), sizes, tokens], names=["id", "size", "tokens"])
+
+    prefixes = stage(rows.mapInArrow(firsts, "id long, size int, tokens array<int>"), "prefixes")
+    repeated = prefixes.select(F.explode("tokens").alias("shared")).groupBy("shared").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stage(repeated.select("shared"), "repeated")
+    bits = 1 << 26
+    whole = F.col("shared").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    places = repeated.select(F.explode(F.array(whole.bitwiseAND(F.lit(bits - 1)), F.shiftright(whole, 6))).alias("at"))
+    held = spark.sparkContext.broadcast(bitmap(places, bits))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            tokens = b.column(2).flatten().to_numpy(zero_copy_only=False)
+            lengths = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            u = tokens.view(np.uint32).astype(np.int64)
+            on = both_set(held.value, u & (bits - 1), u >> 6)
+            of, sizes = (b.column(i).take(pa.array(owner[on])) for i in (0, 1))
+            columns = [pa.array(tokens[on]), of, sizes, pa.array(place[on].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "size", "place"])
+
+    met = prefixes.mapInArrow(split, "token int, id long, size int, place int")
+    met = stage(met.join(repeated, F.col("token") == F.col("shared")).select("token", "id", "size", "place").distinct(), "met")
+    unsettled = _unsettled(met, components(found))
+    known = _sets(rows, stage(unsettled.select("id").distinct(), "involved"))
+    return _verified(stage(_crossing(unsettled, similarity), "pairs"), known, similarity)
+
+
+def _unsettled(met: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold texts of several components, with the component of each."""
+    own = met.drop("component").join(joined, F.col("id") == F.col("node"), "left").drop("node")
+    own = stage(own.withColumn("component", F.coalesce("component", "id")), "met")
+    several = own.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return stage(own.join(several.select(F.col("token").alias("at")), F.col("token") == F.col("at")).drop("at"), "unsettled")
+
+
+def _crossing(met: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of a bucket, of different components, that may be similar by the sizes and places of the shingle."""
+    left, right = (met.select(*(F.col(c).alias(f"{c}_{s}") for c in ("token", "id", "size", "place", "component"))) for s in "ab")
+    pairs = left.join(right, (F.col("token_a") == F.col("token_b")) & (F.col("id_a") > F.col("id_b")) & _possible(similarity))
+    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _possible(similarity: float) -> Column:
+    """Whether this may be the first shingle that two similar sets share: as many as needed are left in both."""
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    enough = left >= (F.col("size_a") + F.col("size_b")) * (similarity / (1 + similarity)) - 1e-6
+    return (F.col("component_a") != F.col("component_b")) & enough
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:

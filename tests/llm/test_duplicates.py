@@ -121,3 +121,35 @@ def test_one_of_each_similar_group_stays(spark, words, edge_docs, no_docs):
     assert 1 in ids and not {2, 3} & set(ids) and ids.count(1) == 1
     assert {7, 8, 9, 10, *range(20, 40)} <= set(ids)
     assert simhash.keep_one(no_docs).count() == 0
+
+
+def plain_similar(texts, similarity=0.8):
+    """{place of a text: least place of its component}, by comparing all shingle sets."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+            a, b = sorted((top(i), top(j)))
+            root[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def test_copies_with_a_passage_added_cut_or_replaced_are_found(spark, words):
+    rng, texts = random.Random(21), []
+    for g in range(40):
+        base = words(rng.choice((100, 300))).split()
+        n = len(base)
+        at = rng.randrange(n - n // 10)
+        added = words(n // 5).split()
+        edits = (base + added, base[:at] + added + base[at:], base[: n - n // 8], base[:at] + words(n // 20).split() + base[at + n // 20 :])
+        texts += [" ".join(base), " ".join(edits[g % 4])]
+    roots = plain_similar(texts)
+    assert sum(r != i for i, r in enumerate(roots)) >= 35
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
