@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -254,15 +255,16 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PR
 
     involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
     found = _verified(pairs, _sets(rows, involved), similarity)
-    return found.union(_missing(rows, found, printed.count(), similarity))
+    return found.union(_missing(rows, found, printed.count(), similarity, small))
 
 
-def _missing(rows: DataFrame, found: DataFrame, texts: int, similarity: float) -> DataFrame:
+def _missing(rows: DataFrame, found: DataFrame, texts: int, similarity: float, small: int) -> DataFrame:
     """Links that connect all similar texts which `found` does not connect yet: an exact join by prefixes of the shingle sets.
 
     Similar texts share a shingle of their prefixes. The order of shingles, common ones last, comes from a sample and changes
     the cost only. Texts meet in a bucket for each shingle in the prefix of two or more; pairs that sizes and places rule
-    out, or which are in one component already, are not compared, and all others are.
+    out, or which are in one component already, are not compared, and all others are. While buckets hold more than `small`
+    pairs a row, rounds of two drawn texts for each bucket join components first; no pair is given up for it.
     """
     spark = rows.sparkSession
 
@@ -305,9 +307,18 @@ def _missing(rows: DataFrame, found: DataFrame, texts: int, similarity: float) -
 
     met = prefixes.mapInArrow(split, "token int, id long, size int, place int")
     met = stage(met.join(repeated, F.col("token") == F.col("shared")).select("token", "id", "size", "place").distinct(), "met")
-    unsettled = _unsettled(met, components(found))
+    joined = components(found)
+    unsettled = _unsettled(met, joined)
     known = _sets(rows, stage(unsettled.select("id").distinct(), "involved"))
-    return _verified(stage(_crossing(unsettled, similarity), "pairs"), known, similarity)
+    more, turn, before = [], 0, math.inf
+    # Each round joins components by a few pairs of each bucket, and spares those inside them; the last compares all that is left.
+    while small * (left := _left(unsettled))[0] < left[1] < 0.75 * before:
+        turn, before = turn + 1, left[1]
+        more.append(_verified(stage(_ends(unsettled, similarity, turn), "pairs"), known, similarity))
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more[-1]))
+        unsettled = _unsettled(unsettled, joined)
+    more.append(_verified(stage(_crossing(unsettled, similarity), "pairs"), known, similarity))
+    return functools.reduce(DataFrame.union, more)
 
 
 def _unsettled(met: DataFrame, joined: DataFrame) -> DataFrame:
@@ -318,6 +329,25 @@ def _unsettled(met: DataFrame, joined: DataFrame) -> DataFrame:
     return stage(own.join(several.select(F.col("token").alias("at")), F.col("token") == F.col("at")).drop("at"), "unsettled")
 
 
+def _left(met: DataFrame) -> tuple[int, int]:
+    """Rows of the buckets, and pairs of different components in them."""
+    each = met.groupBy("token", "component").agg(F.count("*").alias("n"))
+    each = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+    rows, pairs = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
+    return rows or 0, int(pairs or 0)
+
+
+def _ends(met: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Each text of a bucket with two others of it, the same for all and drawn anew each turn, if they may be similar."""
+    own = met.withColumn("draw", F.xxhash64("id", F.lit(turn)))
+    drawn = F.struct("draw", *(F.col(c).alias(f"{c}_b") for c in ("id", "size", "place", "component")))
+    ends = own.groupBy("token").agg(F.array(F.min(drawn), F.max(drawn)).alias("ends"))
+    ends = ends.select(F.col("token").alias("at"), F.explode("ends").alias("end")).select("at", "end.*").drop("draw")
+    left = met.select("token", *(F.col(c).alias(f"{c}_a") for c in ("id", "size", "place", "component")))
+    pairs = left.join(ends, (F.col("token") == F.col("at")) & _possible(similarity))
+    return pairs.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
+
+
 def _crossing(met: DataFrame, similarity: float) -> DataFrame:
     """All pairs (a, b) of a bucket, of different components, that may be similar by the sizes and places of the shingle."""
     left, right = (met.select(*(F.col(c).alias(f"{c}_{s}") for c in ("token", "id", "size", "place", "component"))) for s in "ab")

@@ -153,3 +153,26 @@ def test_copies_with_a_passage_added_cut_or_replaced_are_found(spark, words):
     assert sum(r != i for i, r in enumerate(roots)) >= 35
     kept = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
+
+
+def test_partners_in_a_large_mixed_bucket_are_found(spark, words):
+    # All texts have the same words, so they share all fingerprints; each has one partner, and no end of a bucket is it.
+    rng, texts = random.Random(4), []
+    base = words(400).split()
+    for _ in range(30):
+        rng.shuffle(base)
+        own = list(base)
+        own[50], own[300] = own[300], own[50]
+        texts += [" ".join(base), " ".join(own)]
+    # A chain of edits behind a shared notice, whose ends are not similar.
+    notice, own = words(60).split(), words(300).split()
+    for _ in range(40):
+        own = own[12:] + words(12).split()
+        texts.append(" ".join(notice + own))
+    roots = plain_similar(texts)
+    assert len(set(roots)) == 31
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == sorted(set(roots))
+    # The rounds of drawn texts, too, lose no pair.
+    links = simhash.components(simhash.similar_texts(df, small=1))
+    assert links.count() == len(texts) and links.select("component").distinct().count() == 31
