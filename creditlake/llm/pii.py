@@ -104,22 +104,35 @@ def _email(text: str, move: Move) -> str | None:
     return _signs(name.lower(), "name", move) + "@" + _signs(labels[0], "domain", move) + "." + labels[1]
 
 
-def _card(text: str, move: Move) -> str | None:
+def _is_card(text: str) -> bool:
     digits = "".join(c for c in text if c.isdigit())
-    if not 13 <= len(digits) <= 19 or _check_digit(digits[:-1]) != digits[-1] or len(set(digits)) < 2:
+    return 13 <= len(digits) <= 19 and _check_digit(digits[:-1]) == digits[-1] and len(set(digits)) > 1
+
+
+def _card(text: str, move: Move) -> str | None:
+    if not _is_card(text):
         return None
+    digits = "".join(c for c in text if c.isdigit())
     # The first digit, which names the network, stays.
     own = digits[0] + _signs(digits[1:-1], f"card {digits[0]}", move)
     return _refill(text, own + _check_digit(own))
 
 
-def _iban(text: str, move: Move) -> str | None:
+def _number(text: str) -> int:
+    return int("".join(str(int(c, 36)) for c in text))
+
+
+def _is_iban(text: str) -> bool:
     plain = text.replace(" ", "")
-    number = lambda s: int("".join(str(int(c, 36)) for c in s))
-    if not 15 <= len(plain) <= 34 or number(plain[4:] + plain[:4]) % 97 != 1:
+    return 15 <= len(plain) <= 34 and _number(plain[4:] + plain[:4]) % 97 == 1
+
+
+def _iban(text: str, move: Move) -> str | None:
+    if not _is_iban(text):
         return None
+    plain = text.replace(" ", "")
     account = _signs(plain[4:], f"iban {plain[:2]}", move)
-    check = 98 - number(account + plain[:2] + "00") % 97
+    check = 98 - _number(account + plain[:2] + "00") % 97
     return _refill(text, plain[:2] + f"{check:02d}" + account)
 
 
@@ -142,12 +155,17 @@ def _address(text: str, move: Move) -> str | None:
     return ".".join(str(x) for x in value.to_bytes(4, "big"))
 
 
+#: Country codes of two digits; 1 and 7 stand alone, and all others have three.
+_TWO_DIGITS = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+
+
 def _phone(text: str, move: Move) -> str | None:
     digits = "".join(c for c in text if c.isdigit())
     if not 8 <= len(digits) <= 15:
         return None
-    code = re.match(r"\+(\d{1,3})", text)
-    keep = len(code[1]) if code and not text[code.end() :][:1].isdigit() else 1 if code else 0
+    keep = 0 if text[0] != "+" else 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3
     return _refill(text, digits[:keep] + _signs(digits[keep:], f"phone {digits[:keep]}", move))
 
 
@@ -193,6 +211,44 @@ KINDS: dict[str, tuple[str, Callable[[str, Move], str | None]]] = {
 _PATTERNS = [(k, re.compile(p), f) for k, (p, f) in KINDS.items()]
 
 
+#: Kinds whose pattern may reach into what follows, and how a value is checked.
+_CHECKED = {"card": _is_card, "iban": _is_iban}
+#: Signs of a country's IBAN.
+_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AT20 BE16 BG22 CH21 CY28 CZ24 DE22 DK18 EE20 ES24 FI18 FR27 GB22 GR27 HR21 HU28 IE22 IT27 LI21 LT20 LU20 LV21 MT31 NL18 NO15 "
+    "PL28 PT25 RO24 SE24 SI19 SK24").split()}
+
+
+def _first(kind: str, pattern: re.Pattern, text: str, at: int, free: Callable[[int, int], bool]) -> tuple[int, int] | None:
+    """The first span from `at` on that passes the check: from each start the longest, or an IBAN of its country's length.
+
+    A match may take in groups that follow the value, or begin with groups before it, so it is also tried up to each
+    group border inside, and then from the next group.
+    """
+    while m := pattern.search(text, at):
+        a = m.start()
+        ends = [m.end(), *(i for i in range(m.end() - 1, a, -1) if not text[i].isalnum())]
+        if kind == "iban":
+            ends.sort(key=lambda z: len(text[a:z].replace(" ", "")) != _LENGTHS.get(text[a : a + 2]))
+        for z in ends:
+            if free(a, z) and _CHECKED[kind](text[a:z]):
+                return a, z
+        at = a + 1
+    return None
+
+
+def _checked(kind: str, pattern: re.Pattern, replace, text: str, move: Move, free: Callable[[int, int], bool]) -> Iterator[tuple[int, int, str]]:
+    at = 0
+    while span := _first(kind, pattern, text, at, free):
+        a, z = span
+        new, low, high = replace(text[a:z], move), max(at - 1, 0), z + 64
+        # Moved on until it is found between its neighbours just as the value was, so that it can be turned back.
+        while _first(kind, pattern, text[low:a] + new + text[z:high], at - low, lambda i, j: free(i + low, j + low)) != (a - low, z - low):
+            new = replace(new, move)
+        yield a, z, new
+        at = z
+
+
 def _apply(text: str, move: Move) -> tuple[str, dict[str, int], list[tuple[int, int]]]:
     found: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
@@ -200,6 +256,12 @@ def _apply(text: str, move: Move) -> tuple[str, dict[str, int], list[tuple[int,
     for kind, pattern, replace in _PATTERNS:
         if kind == "email" and "@" not in text or kind not in ("email", "token") and not digits:
             continue
+        if kind in _CHECKED:
+            free = lambda i, j: not any(a < j and i < z for a, z in taken)
+            for a, z, new in _checked(kind, pattern, replace, text, move, free):
+                found.append((a, z, kind, new))
+                taken.append((a, z))
+            continue
         for m in pattern.finditer(text):
             if any(a < m.end() and m.start() < z for a, z in taken):
                 continue
@@ -232,7 +294,9 @@ def replace_personal_data(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     valid ranges, IPv4 addresses, telephone numbers, dates between 1900 and 2099, and access keys are permuted among all
     values of their format by a key. The same value has the same pseudonym in every document, however it is grouped;
     check digits and calendar days stay valid. Numbers that fail the check stay as they are, and so does all other text.
-    `restore` turns pseudonyms back, but for capitals in addresses and dates written month first whose new day is below 13.
+    `restore` turns pseudonyms back, but for capitals in addresses, dates written month first whose new day is below 13, and some
+    cards or IBANs side by side. Cards and IBANs beside other groups of digits or capitals are found at the group borders; one whose
+    pseudonym could be read together with those groups has another pseudonym there.
 
     A null text stays null with nothing replaced. Columns of the input called replaced or kinds are replaced. Empty tables
     give an empty result, and rows stay as they are otherwise.

@@ -1,6 +1,7 @@
 """Tokens, languages, benchmark matches, pages, pseudonyms and toxicity against plain versions."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -229,3 +230,23 @@ def test_risk_estimator_separates_hidden_positives():
     assert set(range(10)) <= set(m.words.tolist()) and len(m.words) < 20
     assert np.mean([m.score(x) >= 0.5 for x in toxic[200:]]) > 0.95
     assert np.mean([m.score(x) >= 0.5 for x in clean]) < 0.02
+
+
+def test_cards_and_ibans_beside_other_groups_are_hidden():
+    card, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "AT61 1904 3002 3457 3201"
+    seen = {}
+    for value in (card, amex, card.replace(" ", ""), card.replace(" ", "-"), iban):
+        for before in ("card ", "12 ", "no. 2024 "):
+            for after in ("", " 12/27", " 123", " 7", " 99 of 100", " EUR", " VISA GOLD", "."):
+                text = before + value + after
+                hidden, kinds, _ = pii.pseudonymise(text)
+                assert value not in hidden and kinds, text
+                assert pii.restore(hidden) == text
+                seen.setdefault(value, []).append(hidden[len(before) : len(before) + len(value)])
+    assert seen[card].count(max(seen[card], key=seen[card].count)) >= 12
+
+
+def test_one_telephone_number_has_one_pseudonym():
+    digits = {re.sub(r"\D", "", pii.pseudonymise(t)[0]) for t in ("+491701234567", "+49 170 1234567", "+49-170-1234567")}
+    assert len(digits) == 1 and digits.pop().startswith("49")
+    assert pii.pseudonymise("+1 202 555 0142")[0].startswith("+1 ")
