@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import functools
-import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import bitmap, both_set, components, id_bits, may_hold, small_batches
+from creditlake.llm.common import components, may_hold, small_batches
+from creditlake.operators.skew import hot_weights, lookup_join
 from creditlake.settings import stage
 
 WORDS = 3
@@ -45,15 +43,17 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * bits > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, bits): the fingerprint of each whole text as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, bits): the fingerprint of each whole text as a signed 64-bit number. Columns named in `carry` go along."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
             found = np.array([fingerprint(t, words, seed) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found)], names=["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found), *b.columns[2:]], names=["doc_id", "bits", *carry])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of, "doc_id long, bits long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    carried = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(of, f"doc_id long, bits long{carried}")
 
 
 def covering_masks(radius: int, width: int = 64) -> list[int]:
@@ -105,288 +105,53 @@ def _large(met: DataFrame, masks: list[int]) -> DataFrame:
     return tied.select(F.col("bits").alias("a"), "b")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """Fingerprint and group of each document: (doc_id, bits, component_id).
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
+    """Fingerprint and group of each document: (doc_id, bits, component_id, root), and the columns named in `carry`.
 
     Documents are linked if their fingerprints differ in `radius` bits or less, 2 at most; component_id is the smallest
-    doc_id that links reach, itself included. Equal fingerprints meet once, so copies cost nothing more.
+    doc_id that links reach, itself included, and root the smallest fingerprint. Equal fingerprints meet once, so copies cost
+    nothing more; rows of a fingerprint that many documents have are spread over several tasks.
 
     Null and empty texts have the fingerprint 0 and link like others. A null doc_id is never the smallest; a group of nulls
     alone has component_id null. Repeated rows stay. An empty table gives an empty result. Other columns are not read.
     """
     if not 0 <= radius <= 2:
         raise ValueError("large buckets are exact for a radius of 0 to 2")
-    all_bits = stage(fingerprints(docs, words, seed), "fingerprints")
+    all_bits = stage(fingerprints(docs, words, seed, carry), "fingerprints")
     prints = stage(all_bits.groupBy("bits").agg(F.min("doc_id").alias("first")), "prints")
     joined = components(links(prints.select("bits"), radius))
     members = joined.join(prints, F.col("node") == F.col("bits")).select("node", "component", "first")
     firsts = members.groupBy("component").agg(F.min("first").alias("component_id")).withColumnRenamed("component", "root")
-    linked = members.join(firsts, F.col("component") == F.col("root")).select("node", "component_id")
+    linked = members.join(firsts, F.col("component") == F.col("root")).select("node", "component_id", "root")
     groups = prints.join(linked, F.col("bits") == F.col("node"), "left").select(
-        F.col("bits").alias("own"), F.when(F.col("node").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id")
+        "bits", F.when(F.col("node").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("root", "bits").alias("root")
     )
-    return all_bits.join(groups, F.col("bits") == F.col("own")).select("doc_id", "bits", "component_id")
+    found = lookup_join(all_bits, groups, ["bits"], "bits", hot_weights(all_bits, "bits"))
+    return found.select("doc_id", "bits", "component_id", "root", *carry)
 
 
 def as_hex(bits: Column) -> Column:
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
 
 
-#: For similar texts: fingerprints of each text, and the least similarity of their shingles of five words.
-PRINTS = 6
-SIMILAR = 0.8
-SHINGLE = 5
-#: About so many texts tell which shingles are common, and so many of those are held. They change the cost, not the result.
-SAMPLE = 5_000
-COMMON = 100_000
+def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of `docs`, of each group of near duplicates only the one with the smallest doc_id.
 
-
-def word_prints(text: str, prints: int = PRINTS) -> list[int]:
-    """SimHashes of the distinct words of a text under several hashes, as signed numbers; zeros without words.
-
-    Words change less than shingles do when a text is edited, so similar texts have prints a few bits apart.
-    """
-    words = set(text.encode("utf-8", "surrogatepass").lower().split())
-    if not words:
-        return [0] * prints
-    base = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
-    found = []
-    for k in range(prints):
-        h = (base ^ np.uint64(xxhash.xxh64_intdigest(b"print", k))) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        found.append(int(np.packbits(2 * bits > len(words), bitorder="little").view("<i8")[0]))
-    return found
-
-
-def shingle_set(text: str, words: int = SHINGLE) -> np.ndarray:
-    """Hashes of the distinct shingles of a whole text; a shorter text is one shingle, one without words has none."""
-    parts = text.encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.empty(0, np.int32)
-    n = max(1, len(parts) - words + 1)
-    found = np.fromiter((xxhash.xxh32_intdigest(b" ".join(parts[i : i + words])) for i in range(n)), np.uint32, n)
-    return np.unique(found).view(np.int32)
-
-
-def text_key(text: Column) -> Column:
-    return F.md5(F.coalesce(text, F.lit("")))
-
-
-def prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """So many of a set's shingles, rare ones first, that two sets of the given Jaccard similarity share one at least.
-
-    `common` are shingles known to be common, in order, with their counts. The order is the same for all sets. Sets that are
-    similar have at least `similarity` of the shingles of either in common, so they share one among the first of both, of which
-    there is one more than may differ. An empty set has the prefix [0], as empty sets equal each other.
-    """
-    n = len(shingles)
-    if not n:
-        return np.zeros(1, np.int32)
-    rank = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        rank = np.where(common[at] == shingles, counts[at], 0)
-    mixed = shingles.view(np.uint32) * np.uint32(0x9E3779B1)  # odd, so no two shingles become one
-    return shingles[np.lexsort((mixed, rank))[: n - math.ceil(similarity * n - 1e-9) + 1]]
-
-
-def _sets(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, shingles) of the texts whose id is in `ids`, and of few others; no text is shuffled."""
-    shared, spots = id_bits(ids)
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
-            b = b.filter(pa.array(both_set(shared.value, b.column(2).to_numpy(), b.column(3).to_numpy())))
-            found = [shingle_set(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["id", "shingles"])
-
-    first, second = spots(F.col("id"))
-    known = rows.select("id", "text", first.alias("s1"), second.alias("s2")).mapInArrow(sets, "id long, shingles array<int>")
-    return stage(known.dropDuplicates(["id"]), "shingles")
-
-
-def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    first, second = (known.select(F.col("id").alias(f"id_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    both = pairs.join(first, F.col("a") == F.col("id_a")).join(second, F.col("b") == F.col("id_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    alike = F.when(union == 0, F.lit(1.0)).otherwise(common / union) >= similarity
-    return stage(both.where(alike).select("a", "b"), "similar")
-
-
-def similar_texts(docs: DataFrame, similarity: float = SIMILAR, prints: int = PRINTS, small: int = 16) -> DataFrame:
-    """Links (a, b) between different texts whose shingles of five words have a Jaccard similarity of `similarity` or more.
-
-    a and b are xxhash64 of `text_key`. Links connect just the texts that are similar, directly or in steps. First candidates
-    agree with each other under a covering mask of radius 2 in one of several fingerprints of their words; each is verified
-    on the shingles of the whole texts. Small buckets give all their pairs; in larger ones each text meets the least and
-    the largest of the bucket. That finds most groups cheaply and promises nothing: `_missing` finds the rest exactly.
-    """
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity is above 0 and at most 1")
-    masks = covering_masks(RADIUS)
-    node = F.xxhash64(text_key(F.col("text")))
-    rows = docs.select(node.alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
-            found = [word_prints(t, prints) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "prints"])
-
-    printed = stage(rows.mapInArrow(of, "id long, prints array<bigint>").dropDuplicates(["id"]), "prints")
-    spots = F.array(
-        *(
-            F.xxhash64(F.element_at("prints", s + 1).bitwiseAND(F.lit(_signed(m))), F.lit(s * len(masks) + t))
-            for s in range(prints)
-            for t, m in enumerate(masks)
-        )
-    )
-    met = printed.select("id", F.explode(spots).alias("spot"))
-    shared = met.groupBy("spot").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1")
-    met = stage(met.join(shared.withColumnRenamed("spot", "at"), F.col("spot") == F.col("at")).select("spot", "id", "n", "low", "high"), "met")
-    few = met.where(F.col("n") <= small)
-    left, right = few.select("spot", F.col("id").alias("a")), few.select(F.col("spot").alias("at"), F.col("id").alias("b"))
-    pairs = left.join(right, (F.col("spot") == F.col("at")) & (F.col("a") > F.col("b"))).select("a", "b")
-    many = met.where(F.col("n") > small).select("id", F.explode(F.array("low", "high")).alias("other")).where("id != other")
-    pairs = pairs.union(many.select(F.greatest("id", "other"), F.least("id", "other"))).distinct()
-    pairs = stage(pairs, "pairs")
-
-    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct(), "involved")
-    found = _verified(pairs, _sets(rows, involved), similarity)
-    return found.union(_missing(rows, found, printed.count(), similarity, small))
-
-
-def _missing(rows: DataFrame, found: DataFrame, texts: int, similarity: float, small: int) -> DataFrame:
-    """Links that connect all similar texts which `found` does not connect yet: an exact join by prefixes of the shingle sets.
-
-    Similar texts share a shingle of their prefixes. The order of shingles, common ones last, comes from a sample and changes
-    the cost only. Texts meet in a bucket for each shingle in the prefix of two or more; pairs that sizes and places rule
-    out, or which are in one component already, are not compared, and all others are. While buckets hold more than `small`
-    pairs a row, rounds of two drawn texts for each bucket join components first; no pair is given up for it.
-    """
-    spark = rows.sparkSession
-
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
-            for t in b.column(1).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t))], names=["token"])
-
-    some = rows.where(F.pmod("id", F.lit(max(1, texts // SAMPLE))) == 0).dropDuplicates(["id"])
-    often = some.mapInArrow(sampled, "token int").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    often = sorted((r.token, r.n) for r in often.orderBy(F.desc("n"), "token").limit(COMMON).collect())
-    order = spark.sparkContext.broadcast((np.array([t for t, _ in often], np.int32), np.array([n for _, n in often], np.int64)))
-
-    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
-            sets = [shingle_set(t) for t in b.column(1).to_pylist()]
-            tokens = pa.array([prefix(s, similarity, *order.value) for s in sets], pa.list_(pa.int32()))
-            sizes = pa.array([len(s) for s in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), sizes, tokens], names=["id", "size", "tokens"])
-
-    prefixes = stage(rows.mapInArrow(firsts, "id long, size int, tokens array<int>"), "prefixes")
-    repeated = prefixes.select(F.explode("tokens").alias("shared")).groupBy("shared").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = stage(repeated.select("shared"), "repeated")
-    bits = 1 << 26
-    whole = F.col("shared").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    places = repeated.select(F.explode(F.array(whole.bitwiseAND(F.lit(bits - 1)), F.shiftright(whole, 6))).alias("at"))
-    held = spark.sparkContext.broadcast(bitmap(places, bits))
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches):
-            tokens = b.column(2).flatten().to_numpy(zero_copy_only=False)
-            lengths = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            u = tokens.view(np.uint32).astype(np.int64)
-            on = both_set(held.value, u & (bits - 1), u >> 6)
-            of, sizes = (b.column(i).take(pa.array(owner[on])) for i in (0, 1))
-            columns = [pa.array(tokens[on]), of, sizes, pa.array(place[on].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "size", "place"])
-
-    met = prefixes.mapInArrow(split, "token int, id long, size int, place int")
-    met = stage(met.join(repeated, F.col("token") == F.col("shared")).select("token", "id", "size", "place").distinct(), "met")
-    joined = components(found)
-    unsettled = _unsettled(met, joined)
-    known = _sets(rows, stage(unsettled.select("id").distinct(), "involved"))
-    more, turn, before = [], 0, math.inf
-    # Each round joins components by a few pairs of each bucket, and spares those inside them; the last compares all that is left.
-    while small * (left := _left(unsettled))[0] < left[1] < 0.75 * before:
-        turn, before = turn + 1, left[1]
-        more.append(_verified(stage(_ends(unsettled, similarity, turn), "pairs"), known, similarity))
-        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more[-1]))
-        unsettled = _unsettled(unsettled, joined)
-    more.append(_verified(stage(_crossing(unsettled, similarity), "pairs"), known, similarity))
-    return functools.reduce(DataFrame.union, more)
-
-
-def _unsettled(met: DataFrame, joined: DataFrame) -> DataFrame:
-    """The rows of the buckets that hold texts of several components, with the component of each."""
-    own = met.drop("component").join(joined, F.col("id") == F.col("node"), "left").drop("node")
-    own = stage(own.withColumn("component", F.coalesce("component", "id")), "met")
-    several = own.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return stage(own.join(several.select(F.col("token").alias("at")), F.col("token") == F.col("at")).drop("at"), "unsettled")
-
-
-def _left(met: DataFrame) -> tuple[int, int]:
-    """Rows of the buckets, and pairs of different components in them."""
-    each = met.groupBy("token", "component").agg(F.count("*").alias("n"))
-    each = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-    rows, pairs = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
-    return rows or 0, int(pairs or 0)
-
-
-def _ends(met: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """Each text of a bucket with two others of it, the same for all and drawn anew each turn, if they may be similar."""
-    own = met.withColumn("draw", F.xxhash64("id", F.lit(turn)))
-    drawn = F.struct("draw", *(F.col(c).alias(f"{c}_b") for c in ("id", "size", "place", "component")))
-    ends = own.groupBy("token").agg(F.array(F.min(drawn), F.max(drawn)).alias("ends"))
-    ends = ends.select(F.col("token").alias("at"), F.explode("ends").alias("end")).select("at", "end.*").drop("draw")
-    left = met.select("token", *(F.col(c).alias(f"{c}_a") for c in ("id", "size", "place", "component")))
-    pairs = left.join(ends, (F.col("token") == F.col("at")) & _possible(similarity))
-    return pairs.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
-
-
-def _crossing(met: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of a bucket, of different components, that may be similar by the sizes and places of the shingle."""
-    left, right = (met.select(*(F.col(c).alias(f"{c}_{s}") for c in ("token", "id", "size", "place", "component"))) for s in "ab")
-    pairs = left.join(right, (F.col("token_a") == F.col("token_b")) & (F.col("id_a") > F.col("id_b")) & _possible(similarity))
-    return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-
-
-def _possible(similarity: float) -> Column:
-    """Whether this may be the first shingle that two similar sets share: as many as needed are left in both."""
-    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    enough = left >= (F.col("size_a") + F.col("size_b")) * (similarity / (1 + similarity)) - 1e-6
-    return (F.col("component_a") != F.col("component_b")) & enough
-
-
-def keep_one(docs: DataFrame, similarity: float = SIMILAR) -> DataFrame:
-    """The rows of `docs`, of each group of equal or similar texts only the one with the smallest doc_id.
-
-    Groups are the components of `similar_texts`; equal texts are one from the start. Null texts count as empty. A null
-    doc_id comes last; rows with equal id and text are copies, of which one stays. Decisions are made on narrow tables of
-    digests. A fixed-size filter then tells the rows that surely stay, which are not shuffled, from those that may go or
-    repeat, which meet the decisions. All columns are kept. An empty table gives an empty result.
+    Groups are those of `near_duplicates`. Null texts count as empty. A null doc_id comes last; of several rows with the
+    smallest id one stays, which is the same in each run unless they are equal in id and text. Decisions are made on
+    digests of id and text. A fixed-size filter then tells the rows that surely stay, which are not shuffled, from those
+    that may go or repeat; these are brought together by digest, combined before the shuffle. All columns are kept. An
+    empty table gives an empty result.
     """
-    pair = lambda key, doc_id: F.md5(F.concat(key, F.lit("|"), F.coalesce(doc_id.cast("string"), F.lit("-"))))
-    own = text_key(F.col("text"))
-    narrow = stage(docs.select(own.alias("key"), "doc_id", pair(own, F.col("doc_id")).alias("pair")), "digests")
-    texts = narrow.groupBy("key").agg(F.min("doc_id").alias("first"))
-    texts = stage(texts.withColumn("id", F.xxhash64("key")), "texts")
-    joined = components(similar_texts(docs, similarity))
-    members = texts.join(joined, F.col("id") == F.col("node")).select("id", "first", "component")
-    best = members.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("last"), "first", "id")).alias("best"))
-    chosen = best.select(F.col("best.id").alias("chosen"))
-    dropped = members.select("id").join(chosen, F.col("id") == F.col("chosen"), "left_anti").withColumnRenamed("id", "gone")
-    kept = texts.join(dropped, F.col("id") == F.col("gone"), "left_anti")
-    kept = kept.select(pair(F.col("key"), F.col("first")).alias("kept"))
-    counted = narrow.groupBy("pair").agg(F.count("*").alias("n")).join(kept, F.col("pair") == F.col("kept"), "left")
+    own = F.unhex(F.md5(F.concat(F.md5(F.coalesce("text", F.lit(""))), F.lit("|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))))
+    groups = near_duplicates(docs.select("doc_id", "text", own.alias("pair")), words, radius, carry=["pair"])
+    groups = stage(groups.select("doc_id", "root", "pair"), "groups")
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "pair")).alias("best"))
+    chosen = best.select(F.col("best.pair").alias("kept"))
+    counted = groups.groupBy("pair").agg(F.count("*").alias("n")).join(chosen, F.col("pair") == F.col("kept"), "left")
     special = stage(counted.where("kept IS NULL OR n > 1").select("pair", F.col("kept").isNotNull().alias("stays")), "special")
-    rows = docs.select(F.struct("*").alias("doc"), pair(own, F.col("doc_id")).alias("own"))
+    rows = docs.select(F.struct("*").alias("doc"), own.alias("own"))
     rows = rows.withColumn("unsure", may_hold(special.select("pair"))(F.col("own")))
-    unsure = rows.where("unsure").join(special, F.col("own") == F.col("pair"), "left").where("stays IS NULL OR stays")
-    number = F.row_number().over(Window.partitionBy("own").orderBy("own"))
-    unsure = unsure.withColumn("number", number).where("number = 1 OR stays IS NULL")
+    unsure = rows.where("unsure").groupBy("own").agg(F.first("doc").alias("doc"))  # rows not in `special` have no equal
+    unsure = unsure.join(special, F.col("own") == F.col("pair"), "left").where("stays IS NULL OR stays")
     return rows.where("NOT unsure").select("doc.*").union(unsure.select("doc.*"))

@@ -9,20 +9,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlake.llm.common import partitions, small_batches, text_runs
+from creditlake.llm.common import partitions, small_batches
 from creditlake.settings import scratch_path
 
 END_ID = 0
+#: Bytes of texts that are encoded at once, or one longer text.
+RUN_BYTES = 4 << 20
 #: Distinct pieces whose ids a Python worker holds, about 200 bytes each.
 PIECES = 800_000
-#: A space that no other character than white space follows: there, pieces do not encode alone.
-_LONE_SPACE = re.compile(r" (?!\S)")
 #: A word and signs after it, without the apostrophe, which may belong to the word.
 _WORD_AND_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
+_SIGNS = frozenset("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 _encoders: dict[tuple[str, int], "Encoder"] = {}
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel ones
 
@@ -39,15 +41,17 @@ class Encoder:
     """The tokenizers library, asked once for each distinct piece between spaces.
 
     A byte-level pre-tokenizer always starts a new token at a space that is followed by a character that is no white
-    space, so such texts are the pieces' ids in a row. Other texts are encoded whole. `most` bounds the pieces held; the
-    rest are encoded again each time.
+    space, so such texts are the pieces' ids in a row. Other texts are encoded whole, among them those that hold one of the
+    vocabulary's added tokens, which the library reads as that token. `most` bounds the pieces held; the rest are encoded
+    again each time.
     """
 
     def __init__(self, file: str, most: int = PIECES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(file)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = "|".join(map(re.escape, added)) or r"[^\s\S]"
         self.most = most
         self.kind = np.dtype(np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32)
         pre = self.tok.pre_tokenizer
@@ -75,9 +79,9 @@ class Encoder:
     def _new(self, pieces: set[str]) -> dict[str, bytes]:
         """The same for pieces not held. A word and the ASCII signs after it are asked for apart, as they are tokens apart."""
         words, tails, cut = {}, {}, {}
+        match = _WORD_AND_SIGNS.fullmatch
         for p in pieces:
-            m = _WORD_AND_SIGNS.fullmatch(p)
-            if m:
+            if p[-1] in _SIGNS and (m := match(p)):
                 cut[p] = m.groups()
                 words[m[1]] = tails[m[2]] = None
             else:
@@ -93,39 +97,55 @@ class Encoder:
             self.inner.update(words)
         return words | {p: words[w] + self.first[t] for p, (w, t) in cut.items()}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, packed as numbers of `kind`."""
-        plain = [self.by_piece and t != "" and not _LONE_SPACE.search(t) for t in texts]
-        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+    def _bytes(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces that follow a space."""
+        found = list(map(self.inner.get, pieces))
+        if None in found:
+            fresh = self._new({p for p, ids in zip(pieces, found) if ids is None})
+            if len(self.inner) + len(fresh) <= self.most:
+                self.inner.update(fresh)
+            found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        return found
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, as numbers of `kind`, and how many each text has."""
         if len(self.first) > self.most // 4:
             self.first.clear()
-        cut = [t.split(" ") if p else None for t, p in zip(texts, plain)]
-        heads, new = [], set()
-        for pieces in cut:
-            if pieces:
-                heads.append(pieces.pop(0))
-                new |= set(pieces).difference(self.inner)
-        found = self._new(new) if new else {}
-        if len(self.inner) + len(found) <= self.most:
-            self.inner.update(found)
-            known = self.inner.__getitem__
-        else:
-            known = _Either(found, self.inner).__getitem__
-        first = dict.fromkeys(heads)
-        first = dict(zip(first, self._whole(list(first))))
-        head = iter(heads)
-        return [next(whole) if p is None else first[next(head)] + b"".join(map(known, p)) for p in cut]
-
-
-class _Either(dict):
-    """A dictionary that asks another for what it has not."""
-
-    def __init__(self, own: dict, other: dict):
-        super().__init__(own)
-        self.other = other
-
-    def __missing__(self, key):
-        return self.other[key]
+        split = pc.split_pattern(texts, " ")
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        pieces, place = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        heads = offsets[:-1]
+        # White space that runs over a cut, an added token, or no text at all: such texts are encoded whole.
+        odd = np.fromiter((p == "" or p[0].isspace() for p in pieces), bool, len(pieces))[place]
+        odd[heads] = False
+        whole = np.add.reduceat(odd, heads) > 0 if len(heads) else np.zeros(0, bool)
+        whole |= pc.equal(texts, "").to_numpy(zero_copy_only=False) | pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
+        whole |= not self.by_piece
+        n_pieces = np.diff(offsets)
+        inner = np.repeat(~whole, n_pieces)
+        inner[heads] = False
+        used = np.unique(place[inner])
+        first, back = np.unique(place[heads[~whole]], return_inverse=True)
+        as_whole = np.flatnonzero(whole)
+        found = self._bytes([pieces[i] for i in used.tolist()])
+        found += self._whole([pieces[i] for i in first.tolist()] + [texts[i].as_py() for i in as_whole.tolist()])
+        # A whole text stands at the place of its first piece, and its other pieces are left out.
+        number = np.full(len(place), -1, np.int64)
+        renumbered = np.zeros(len(pieces), np.int64)
+        renumbered[used] = np.arange(len(used))
+        number[inner] = renumbered[place[inner]]
+        number[heads[~whole]] = len(used) + back
+        number[heads[as_whole]] = len(used) + len(first) + np.arange(len(as_whole))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        ids, starts = np.frombuffer(b"".join(found), self.kind), np.cumsum(sizes) - sizes
+        n = np.where(number >= 0, sizes[number], 0) if len(found) else np.zeros(0, np.int64)
+        out = []
+        for i in range(0, len(number), 1 << 19):  # bounded memory for long texts
+            own, turn = n[i : i + (1 << 19)], number[i : i + (1 << 19)]
+            shift = starts[turn] - (np.cumsum(own) - own)
+            out.append(ids[np.repeat(shift, own) + np.arange(own.sum())])
+        return np.concatenate(out) if out else np.empty(0, self.kind), np.add.reduceat(n, heads) if len(heads) else n
 
 
 def _encoder(file: str, most: int) -> Encoder:
@@ -143,13 +163,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     the ids by its integer run-length encoding; row indexes each 1,000 rows and Bloom filters on doc_id let a reader of
     few documents skip stripes and rows, and stripes of 16 MB are read in parallel.
 
-    A null text is encoded as an empty one and has the end id only. Null ids come first; equal ids are ordered by text.
+    A null text is encoded as an empty one and has the end id only. Null ids come first; equal ids are ordered by a hash of the text.
     An empty table gives files without rows. Other columns are not read.
     """
     spark = docs.sparkSession
     file = tokenizer or tokenizer_path()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keys = [F.col("doc_id").asc_nulls_first(), F.md5("text")]
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = rows.repartitionByRange(max(2, parts or partitions(spark)), *keys).sortWithinPartitions(*keys)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("part", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))]
@@ -157,25 +177,20 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(file, pieces)
-        end = np.array([end_id], encoder.kind).tobytes()
         part, first = TaskContext.get().partitionId(), 0
-        for b in small_batches(batches):
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            for run in text_runs(texts):
-                found = encoder.encode([texts[i] for i in run])
-                n = np.fromiter((len(x) for x in found), np.int64, len(found)) // encoder.kind.itemsize + 1
-                ends = np.cumsum(n)
-                values = np.frombuffer(end.join(found) + end, encoder.kind).astype(np.int32)
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                columns = [
-                    ids.slice(run.start, len(run)),
-                    pa.array(np.full(len(run), part, np.int32)),
-                    pa.array(first + ends - n),
-                    pa.array(n.astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                ]
-                first += int(ends[-1])
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+        for b in small_batches(batches, RUN_BYTES):
+            values, n = encoder.encode(b.column(1))
+            ends = np.cumsum(n + 1)
+            values = np.insert(values.astype(np.int32), np.cumsum(n), end_id)
+            columns = [
+                b.column(0),
+                pa.array(np.full(b.num_rows, part, np.int32)),
+                pa.array(first + ends - n - 1),
+                pa.array((n + 1).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values)),
+            ]
+            first += int(ends[-1])
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     encoded = rows.mapInArrow(encode, SCHEMA)
     options = {

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from creditlake.llm import decontaminate, html, langid, pii, tokens, toxicity
 from creditlake.llm.common import in_training
 from creditlake.settings import scratch_path
@@ -14,20 +15,20 @@ from tokenizers import Tokenizer
 
 def test_pieces_encode_like_whole_texts(words):
     encoder = tokens.Encoder(tokens.tokenizer_path(), most=50)
-    plain = Tokenizer.from_file(tokens.tokenizer_path())
-    plain.encode_special_tokens = True
-    odd = ["", " ", "a  b", "x \n y", "x\n \n y ", " a", "it's I'LL 'm", "²½ x　y", "\x1c q", "日本 語 𝒳 é", "a.\nB, c!! 12%%% <|endoftext|>", words(300)]
+    plain = Tokenizer.from_file(tokens.tokenizer_path())  # as the library has it
+    odd = ["", " ", "a  b", "x \n y", "x\n \n y ", " a", "it's I'LL 'm", "²½ x　y", "\x1c q", "日本 語 𝒳 é", "a.\nB, c!! 12%%% <|endoftext|>", "x <|endoftext|>", "a \u3000b", "a b ", words(300)]
     for texts in (odd, odd[::-1], [words(50) + "," for _ in range(5)]):
-        assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [
-            plain.encode(t, add_special_tokens=False).ids for t in texts
-        ]
+        expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        for run in (texts, texts[3:4], texts[:1], []):
+            ids, n = encoder.encode(pa.array(["x y", *run], pa.string())[1:])
+            own = expected if run is texts else [plain.encode(t, add_special_tokens=False).ids for t in run]
+            assert (ids.tolist(), n.tolist()) == (sum(own, []), [len(x) for x in own])
 
 
 def test_token_files_round_trip(spark, edge_docs, no_docs):
     path = scratch_path(spark, "orc")
     tokens.write_tokens(edge_docs, path)
-    plain = Tokenizer.from_file(tokens.tokenizer_path())
-    plain.encode_special_tokens = True
+    plain = Tokenizer.from_file(tokens.tokenizer_path())  # as the library has it
     docs = [(r.doc_id, plain.encode(r.text or "", add_special_tokens=False).ids + [0]) for r in edge_docs.collect()]
     rows = sorted(tokens.token_index(spark, path).collect(), key=lambda r: r.start)
     ids = [r.doc_id for r in rows]
