@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..settings import stage
 from .skew import hot_weights, lookup_join
 
 PAIRS, SECONDS, TIMED = "_pairs", "_seconds", "_timed"
@@ -45,12 +46,20 @@ def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str | Non
     return sorted((t for t, s in zip(types, seen) if s), key=lambda t: (t is None, t))
 
 
+def daily_events(eventos: DataFrame) -> DataFrame:
+    """(cliente_id, day, tipo_evento, events, seconds, timed), written once, so that types and counts share one scan of the events."""
+    rows = eventos.where("cliente_id IS NOT NULL AND fecha_evento IS NOT NULL")
+    rows = rows.groupBy("cliente_id", F.unix_date("fecha_evento").alias("day"), "tipo_evento")
+    return stage(rows.agg(F.count("*").alias("events"), F.sum("duracion_sesion_seg").alias("seconds"), F.count("duracion_sesion_seg").alias("timed")), "daily_events")
+
+
 def prior_event_counts(
     creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str], hot: Mapping | Sequence | None = None
 ) -> DataFrame:
     """Per loan that has prior events: count per type `n_<i>`, all events, session seconds and timed events.
 
-    An event on the day of the loan is not prior. `hot` names the clients with very many loans.
+    An event on the day of the loan is not prior. `hot` names the clients with very many loans. `eventos` may also be what
+    `daily_events` made of them.
     """
     if hot is None:
         hot = hot_weights(creditos, "cliente_id")
@@ -59,17 +68,22 @@ def prior_event_counts(
     loans = creditos.where("credito_id IS NOT NULL AND cliente_id IS NOT NULL AND fecha_desembolso IS NOT NULL").select(
         "credito_id", "cliente_id", F.unix_date("fecha_desembolso").alias("day")
     )
-    happened = eventos.where("cliente_id IS NOT NULL AND fecha_evento IS NOT NULL").select(
-        "cliente_id", F.unix_date("fecha_evento").alias("day"), "tipo_evento", "duracion_sesion_seg", F.lit(False).alias("asked")
-    )
+    if "events" in eventos.columns:
+        happened = eventos.select("cliente_id", "day", "tipo_evento", "events", "seconds", "timed", F.lit(False).alias("asked"))
+    else:
+        happened = eventos.where("cliente_id IS NOT NULL AND fecha_evento IS NOT NULL").select(
+            "cliente_id", F.unix_date("fecha_evento").alias("day"), "tipo_evento", F.lit(1).cast("bigint").alias("events"),
+            F.col("duracion_sesion_seg").alias("seconds"), F.col("duracion_sesion_seg").isNotNull().cast("bigint").alias("timed"), F.lit(False).alias("asked"),
+        )
+    many = lambda c: F.coalesce(F.sum(c), F.lit(0))
     daily = (
         happened.unionByName(loans.select("cliente_id", "day", F.lit(True).alias("asked")), allowMissingColumns=True)
         .groupBy("cliente_id", "day")
         .agg(
-            *[F.count_if(F.col("tipo_evento") == t).alias(n) for n, t in zip(kinds, event_types)],
-            F.count_if(~F.col("asked")).alias(PAIRS),
-            F.sum("duracion_sesion_seg").alias(SECONDS),
-            F.count("duracion_sesion_seg").alias(TIMED),
+            *[many(F.when(F.col("tipo_evento") == t, F.col("events"))).alias(n) for n, t in zip(kinds, event_types)],
+            many("events").alias(PAIRS),
+            F.sum("seconds").alias(SECONDS),
+            many("timed").alias(TIMED),
             F.bool_or("asked").alias("asked"),
         )
     )
@@ -95,13 +109,22 @@ def event_features_py(
     columns at all. Events without a type count for the session columns only.
     """
     if event_types is None:
-        found = prior_event_types(creditos, eventos)
-        if not found:
+        daily = daily_events(eventos)
+        types = [r[0] for r in daily.select("tipo_evento").where("tipo_evento IS NOT NULL").distinct().limit(MAX_TYPES + 1).collect()]
+        if len(types) > MAX_TYPES:
+            raise ValueError(f"more than {MAX_TYPES} event types: pass event_types to choose the columns")
+        types = sorted(types)
+        counts = stage(prior_event_counts(creditos, daily, types, hot), "prior_events")
+        seen = counts.agg(F.count("*").alias("rows"), *[F.max(f"n_{i}").alias(f"n_{i}") for i in range(len(types))]).first()
+        if not seen["rows"]:
             return creditos.select("credito_id").limit(0)
-        event_types = [t for t in found if t is not None]
-    return prior_event_counts(creditos, eventos, event_types, hot).select(
+        columns = [(f"n_{i}", t) for i, t in enumerate(types) if seen[f"n_{i}"]]
+    else:
+        counts = prior_event_counts(creditos, eventos, event_types, hot)
+        columns = [(f"n_{i}", t) for i, t in enumerate(event_types)]
+    return counts.select(
         "credito_id",
-        *[F.col(f"n_{i}").alias(f"prev_evento_{t}") for i, t in enumerate(event_types)],
+        *[F.col(n).alias(f"prev_evento_{t}") for n, t in columns],
         F.coalesce(SECONDS, F.lit(0)).alias("prev_evento_sesion_seg_tot"),
         F.coalesce(F.try_divide(SECONDS, TIMED), F.lit(0.0)).alias("prev_evento_sesion_seg_avg"),
     )

@@ -114,9 +114,8 @@ class _Brackets:
         to = bisect_left(values, rank + 1, key=lambda v: self._rows(v, True)[0])
         lo, hi = values[max(at, 0)], values[min(to, len(values) - 1)]
         width = max(0.0, self._rows(hi, False)[1] - self._rows(lo, True)[0]) / self.n
-        if lo == hi:
-            return lo, hi, 0.0
-        return _outwards(lo, -1), _outwards(hi, 1), width
+        # Also a single value may be one that the sketch has rounded.
+        return _outwards(lo, -1), _outwards(hi, 1), 0.0 if lo == hi else width
 
 
 def _outwards(value, direction: int):

@@ -627,7 +627,39 @@ UNION ALL SELECT 'resumen_portafolio', CAST(1 AS BIGINT), true, true""",
     ON clase NOT IN ('0', '1') OR clase = CAST(es_moroso AS VARCHAR)) GROUP BY clase""",
     ),
     "score_book": _with("labelled", "SELECT credito_id, es_moroso, true AS valida, true AS coherente FROM labelled"),
-    "feature_importance": "SELECT CAST(unnest(range(1, 6)) AS INT) AS puesto, true AS no_negativa, true AS descendente",
+    "feature_importance": "SELECT CAST(unnest(range(1, 6)) AS INT) AS puesto, true AS coincide, true AS descendente, true AS completa",
+    "tree_leaves": _with(
+        "labelled",
+        """SELECT CAST(arbol AS INT) AS arbol, (SELECT COUNT(*) FROM labelled) AS filas, true AS misma_cuenta, true AS hojas_permitidas,
+  true AS hojas_llenas, true AS regla_aprendida FROM (SELECT unnest(range(5)) AS arbol)""",
+    ),
+    "tree_stump": _with(
+        "labelled",
+        """, pesos AS (SELECT es_moroso AS y, COUNT(*) AS n_y, CAST((SELECT COUNT(*) FROM labelled) AS DOUBLE) / (2 * COUNT(*)) AS w FROM labelled GROUP BY es_moroso),
+valores AS (SELECT feature, orden, v, COUNT(*) AS n, SUM(w * (0.5 - y)) AS g, SUM(w * 0.25) AS h FROM (
+    SELECT es_moroso, unnest([{'feature': 'estrato', 'orden': 0, 'v': CAST(estrato AS DOUBLE)}, {'feature': 'mes_desembolso', 'orden': 1, 'v': CAST(mes_desembolso AS DOUBLE)},
+      {'feature': 'dia_semana_desembolso', 'orden': 2, 'v': CAST(dia_semana_desembolso AS DOUBLE)}, {'feature': 'numero_dependientes', 'orden': 3, 'v': CAST(numero_dependientes AS DOUBLE)}], recursive := true)
+    FROM labelled) JOIN pesos ON y = es_moroso GROUP BY feature, orden, v)
+SELECT lado, filas, valor, feature, umbral, nulos_izquierda, ganancia FROM (
+  SELECT *, row_number() OVER (ORDER BY ganancia DESC, nulos_izquierda, orden, umbral) AS puesto FROM (
+    SELECT c.feature, c.orden, c.umbral, c.nulos_izquierda, CAST(SUM(n) FILTER (izq) AS BIGINT) AS n_i, CAST(SUM(n) FILTER (NOT izq) AS BIGINT) AS n_d,
+      SUM(g) FILTER (izq) AS g_i, SUM(h) FILTER (izq) AS h_i, SUM(g) FILTER (NOT izq) AS g_d, SUM(h) FILTER (NOT izq) AS h_d,
+      round(g_i * g_i / h_i + g_d * g_d / h_d - SUM(g) * SUM(g) / SUM(h), 6) AS ganancia
+    FROM (
+      SELECT a.feature, a.orden, b.v AS umbral, lados.nulos_izquierda, a.n, a.g, a.h, CASE WHEN a.v IS NULL THEN lados.nulos_izquierda ELSE a.v <= b.v END AS izq
+      FROM valores a JOIN (SELECT DISTINCT feature, v FROM valores WHERE v IS NOT NULL) b ON a.feature = b.feature
+      CROSS JOIN (SELECT unnest([false, true]) AS nulos_izquierda) lados) c
+    GROUP BY c.feature, c.orden, c.umbral, c.nulos_izquierda)
+  WHERE n_i >= 30 AND n_d >= 30 AND h_i > 0.001 AND h_d > 0.001)
+CROSS JOIN LATERAL (VALUES ('izquierda', n_i, round(-0.03 * g_i / h_i, 9)), ('derecha', n_d, round(-0.03 * g_d / h_d, 9))) AS t(lado, filas, valor)
+WHERE puesto = 1""",
+    ).replace(")\n, pesos AS", "),\npesos AS"),
+    "stratified_split_wide": _with(
+        "labelled",
+        """SELECT credito_id, es_moroso, CASE WHEN rn <= CAST(floor(0.2::DOUBLE * n + 0.5::DOUBLE) AS BIGINT) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT credito_id, es_moroso, COUNT(*) OVER (PARTITION BY es_moroso) AS n,
+  row_number() OVER (PARTITION BY es_moroso ORDER BY 1152921504606846976 + ((credito_id * 2654435761) % 4294967296) * 1000003, credito_id) AS rn FROM labelled)""",
+    ),
     "score_applicants": _with(
         "raw_creditos raw_clientes", "SELECT credito_id, true AS valida, true AS coherente FROM raw_creditos JOIN raw_clientes USING (cliente_id)"
     ),

@@ -12,7 +12,6 @@ from ..functions.text import title_py
 from ..operators.chunks import chunk_documents
 from ..operators.reports import portfolio_by_channel, portfolio_by_product, portfolio_totals, top_departments
 from ..settings import Settings
-from ..sources.upsert import VersionedTable
 
 FALLBACK = "No se encontró información relevante en los datos de la corporación."
 DOCUMENT = "page_content string, metadata map<string,string>"
@@ -149,14 +148,10 @@ def keyed_chunks(docs: DataFrame) -> DataFrame:
 
 
 def build_store(docs: DataFrame, root: str, reset: bool = True) -> DataFrame:
-    """Chunk `docs` into the store at `root`, replacing or extending it; the store's rows."""
-    table = VersionedTable(docs.sparkSession, root)
+    """Chunk `docs` into the Parquet store at `root`, replacing or extending it; the store's rows."""
     chunks = keyed_chunks(docs)
-    if reset:
-        table.write(chunks)
-    else:
-        table.append(chunks)
-    return table.read()
+    chunks.write.mode("overwrite" if reset else "append").parquet(root)
+    return docs.sparkSession.read.schema(chunks.schema).parquet(root)
 
 
 def store_counts(collections: dict[str, DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from . import adapters
 from .adapters import CUTOFF, TEST_SETTINGS, sources, table, with_stand_in_score
 from .functions import dates, numbers, text
-from .operators import chunks, clean, dedupe, metrics, prior_events, profile, quality, ranks, reports, skew, vectors
+from .operators import boosting, chunks, clean, dedupe, metrics, prior_events, profile, quality, ranks, reports, skew, vectors
 from .operators.target import default_label
 from .plans import abt as abt_plan
 from .plans import knowledge, model, refresh, star
@@ -142,9 +143,9 @@ def upsert_merge(spark, sf_dir):
     everything = pagos(spark, sf_dir).drop("medio_pago")
     loaded = pagos(spark, sf_dir).where(F.col("fecha_vencimiento") <= F.lit(CUTOFF).cast("date"))
     loaded = dedupe.keep_first(loaded, INSTALMENT, [*_instalment_order(loaded)])
-    store = upsert.VersionedTable(spark, scratch_path(spark, "pagos"))
-    store.write(loaded)
-    store.upsert(everything, INSTALMENT, _instalment_order(everything))
+    store = upsert.KeyedTable(spark, scratch_path(spark, "pagos"), loaded.schema, tuple(INSTALMENT), 50_000)
+    store.replace(loaded)
+    store.upsert(everything, _instalment_order(everything))
     return store.read()
 
 
@@ -525,6 +526,13 @@ def stratified_split(spark, sf_dir):
     return model.split_train_test(rows, _hash(), F.col("credito_id"))
 
 
+@query
+def stratified_split_wide(spark, sf_dir):
+    """The split by a hash beyond 2^53, where the sketch's doubles are rounded."""
+    rows = stage(_labelled(spark, sf_dir).select("credito_id", "es_moroso"), "labelled")
+    return model.split_train_test(rows, F.lit(2**60) + _hash() * F.lit(1_000_003), F.col("credito_id"))
+
+
 @query
 def category_index(spark, sf_dir):
     rows = _labelled(spark, sf_dir).select("credito_id", "producto_credito", "ciudad")
@@ -550,8 +558,7 @@ def classification_report(spark, sf_dir):
 
 @query
 def roc_auc(spark, sf_dir):
-    auc = metrics.roc_auc(stage(_scored(spark, sf_dir).select("es_moroso", "probabilidad_mora"), "scored"))
-    return spark.range(1).select(F.round(F.lit(auc), 9).alias("auc"))
+    return metrics.roc_auc_table(_scored(spark, sf_dir).select("es_moroso", "probabilidad_mora")).select(F.round("auc", 9).alias("auc"))
 
 
 _models: dict[tuple, tuple] = {}
@@ -572,7 +579,56 @@ def train_default_model(spark, sf_dir):
     rows, _, fitted = _trained(spark, sf_dir)
     test = stage(model.score_book(fitted, rows.where("split = 'test'")), "test_scored")
     report = metrics.classification_report(test).select("clase", "support")
-    return report.withColumn("auc_mejor_que_azar", F.lit(0.45 <= metrics.roc_auc(test) <= 1.0))
+    learnt = metrics.roc_auc(stage(model.score_book(fitted, rows.where("split = 'train'")), "train_scored"))
+    return report.withColumn("auc_mejor_que_azar", F.lit(metrics.roc_auc(test) > 0.48 and learnt > 0.52))
+
+
+#: Whole numbers of few values, which a bin holds each on its own.
+STUMP_FEATURES = ["estrato", "mes_desembolso", "dia_semana_desembolso", "numero_dependientes"]
+
+
+@query
+def tree_stump(spark, sf_dir):
+    """The one best split over a few columns, and what it says on both sides: SQL tries every cut of every column."""
+    rows = _labelled(spark, sf_dir).select("es_moroso", *STUMP_FEATURES)
+    weights = {r["es_moroso"]: r["peso"] for r in metrics.class_weights(rows).collect()}
+    weighted = rows.withColumn("peso", F.when(F.col("es_moroso") == 1, weights[1]).otherwise(weights[0]))
+    _, trees = boosting.boost(weighted, STUMP_FEATURES, "es_moroso", "peso", trees=1, rate=0.03, depth=1, leaves=2, least_rows=30)
+    nodes = spark.createDataFrame(boosting.node_rows(trees, STUMP_FEATURES), boosting.NODES)
+    top = nodes.where("nodo = 1").select("feature", "umbral", "nulos_izquierda", F.round("ganancia", 6).alias("ganancia"))
+    leaves = nodes.where("nodo > 1").select(F.when(F.col("nodo") == 2, "izquierda").otherwise("derecha").alias("lado"), "filas", F.round("valor", 9).alias("valor"))
+    return leaves.join(F.broadcast(top))  # one row
+
+
+#: A default that is known: a null or low external score, or a long term of a client in a low stratum.
+KNOWN = "CAST((score_externo IS NULL OR (plazo_meses >= 24 AND estrato <= 3)) AS INT)"
+
+
+@query
+def tree_leaves(spark, sf_dir):
+    """A model of a known rule with nulls in it: rows in the leaves of each tree, recounted by its splits as SQL."""
+    rows = _labelled(spark, sf_dir).select("credito_id", "plazo_meses", "estrato", "edad", F.when(F.col("credito_id") % 3 > 0, F.col("score_externo")).alias("score_externo"))
+    rows = stage(rows.withColumn("es_moroso", F.expr(KNOWN)), "known")
+    fitted = model.train(rows, ["plazo_meses", "estrato", "edad", "score_externo"])
+    nodes = stage(fitted.nodes().where("arbol < 5"), "nodes")
+    splits = {(r["arbol"], r["nodo"]): r for r in nodes.where("feature IS NOT NULL").collect()}
+
+    def leaf(tree: int, node: int) -> str:
+        if (tree, node) not in splits:
+            return str(node)
+        r = splits[tree, node]
+        goes = f"{r['feature']} IS NULL" if r["nulos_izquierda"] else "false"
+        cut = "true" if r["umbral"] == math.inf else f"{r['feature']} <= {r['umbral']!r}D"
+        return f"CASE WHEN coalesce({cut} AND {r['feature']} IS NOT NULL, false) OR {goes} THEN {leaf(tree, 2 * node)} ELSE {leaf(tree, 2 * node + 1)} END"
+
+    reached = rows.select(F.inline(F.array(*[F.struct(F.lit(t).alias("t"), F.expr(leaf(t, 1)).alias("n")) for t in range(5)])))
+    recount = reached.groupBy("t", "n").agg(F.count("*").alias("contadas"))
+    same = nodes.where("feature IS NULL").join(recount, (F.col("arbol") == F.col("t")) & (F.col("nodo") == F.col("n")), "left")
+    auc = metrics.roc_auc(model.score_book(fitted, rows))
+    return same.groupBy("arbol").agg(
+        F.sum("filas").alias("filas"), F.bool_and(F.col("contadas") == F.col("filas")).alias("misma_cuenta"), (F.count("*") <= 15).alias("hojas_permitidas"),
+        (F.min("filas") >= 30).alias("hojas_llenas"), F.lit(auc > 0.99).alias("regla_aprendida"),
+    )
 
 
 @query
@@ -586,11 +642,20 @@ def score_book(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    top = stage(model.feature_importance(_trained(spark, sf_dir)[2], 5), "importance")
-    w = Window.orderBy(F.desc("importancia"), "entrada")  # five rows
-    ranked = top.withColumns({"puesto": F.row_number().over(w), "antes": F.lag("importancia").over(w)})
-    falling = F.coalesce(F.col("antes") >= F.col("importancia"), F.lit(True))
-    return ranked.select("puesto", (F.col("importancia") >= 0).alias("no_negativa"), falling.alias("descendente"))
+    """The five features with most splits, next to a count over the table of nodes; and whether all splits are counted."""
+    fitted = _trained(spark, sf_dir)[2]
+    ranked = stage(model.feature_importance(fitted), "importance")
+    nodes = stage(fitted.nodes(), "nodes")
+    recount = nodes.groupBy("feature").agg(F.count("*").alias("n")).where("feature IS NOT NULL").withColumnRenamed("feature", "f")
+    inner = nodes.agg(F.count_if(F.col("feature").isNotNull()) == F.count_if(F.col("feature").isNull()) - F.count_distinct("arbol")).first()[0]
+    total = ranked.agg(F.sum("importancia") == nodes.where("feature IS NOT NULL").count()).first()[0]
+    w = Window.orderBy(F.desc("importancia"), "feature")  # a row for each feature
+    top = ranked.withColumns({"puesto": F.row_number().over(w), "antes": F.lag("importancia").over(w)}).where("puesto <= 5")
+    top = top.join(recount, F.col("feature") == F.col("f"), "left")
+    return top.select(
+        "puesto", (F.col("importancia") == F.coalesce("n", F.lit(0))).alias("coincide"),
+        F.coalesce(F.col("antes") >= F.col("importancia"), F.lit(True)).alias("descendente"), F.lit(bool(inner and total)).alias("completa"),
+    )
 
 
 APPLICATION_FIELDS = (

@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from creditlake import adapters
+from creditlake.operators import boosting
 from creditlake.plans import model, refresh
 from creditlake.sources.schemas import SOURCE_FILES
 
@@ -36,6 +38,8 @@ def test_train_score_save_load(spark, rows, tmp_path, monkeypatch):
     test = model.score_book(fitted, split.where("split = 'test'"))
     assert roc_auc(test) > 0.85
     assert model.feature_importance(fitted, 1).first()["feature"] == "score_externo"
+    counts = {r["feature"]: r["importancia"] for r in model.feature_importance(fitted).collect()}
+    assert set(counts) == set(features) and sum(counts.values()) == fitted.nodes().where("feature IS NOT NULL").count()
     model.save_model(fitted, features, str(tmp_path / "m"))
     loaded, names = model.load_model(spark, str(tmp_path / "m"))
     assert names == features
@@ -70,7 +74,7 @@ def test_refresh_from_csv(spark, tmp_path, monkeypatch):
     assert result.lake_counts["fact_creditos"] == result.lake_counts["abt_analitica_riesgo"] == loans
     assert result.lake_counts["dim_producto_credito"] == 5
     assert 0.0 <= result.test_auc <= 1.0
-    stored = refresh.VersionedTable(spark, f"{tmp_path}/out/predicciones_riesgo").read()
+    stored = spark.read.parquet(f"{tmp_path}/out/predicciones_riesgo").drop("_part")
     assert stored.count() == loans and not [c for c in stored.columns if c.startswith("prev_evento")]
 
 
@@ -78,9 +82,9 @@ def test_raw_load_is_idempotent(spark, tmp_path):
     sources = adapters.sources(spark, "/root/testdata/sf0.001")
     small = {n: sources[n] for n in ("clientes", "creditos", "pagos", "eventos")}
     refresh.load_raw(spark, small, str(tmp_path))
-    counts = {n: spark.read.parquet(f"{tmp_path}/{n}/v=2").count() for n in small}
+    counts = {n: spark.read.parquet(f"{tmp_path}/{n}").count() for n in small}
     refresh.load_raw(spark, small, str(tmp_path))
-    assert {n: spark.read.parquet(f"{tmp_path}/{n}/v=3").count() for n in small} == counts
+    assert {n: spark.read.parquet(f"{tmp_path}/{n}").count() for n in small} == counts
 
 
 def test_nulls_that_training_never_saw(spark, rows):
@@ -91,3 +95,75 @@ def test_nulls_that_training_never_saw(spark, rows):
     blank = complete.limit(20).select(*[F.lit(None).cast(t).alias(c) if c in features else F.col(c) for c, t in complete.dtypes])
     scored = model.score_book(fitted, blank.withColumn("vacia", F.lit(3.0))).collect()
     assert len(scored) == 20 and all(0 <= r["probabilidad_mora"] <= 1 for r in scored)
+
+
+def plain_tree(x, y, w, depth, leaves, least, rate):
+    """[(rows, value)] of the leaves of the first tree, grown leaf by leaf over all cuts of all columns."""
+    g, h = w * (0.5 - y), w * 0.25
+
+    def best(rows):
+        found = None
+        for left_nulls in (False, True):
+            for f in range(x.shape[1]):
+                v = x[rows, f]
+                for t in np.unique(v[~np.isnan(v)]):
+                    left = np.where(np.isnan(v), left_nulls, v <= t)
+                    if min(left.sum(), (~left).sum()) < least:
+                        continue
+                    parts = [(g[rows][m].sum(), h[rows][m].sum()) for m in (left, ~left)]
+                    gain = sum(a * a / b for a, b in parts) - g[rows].sum() ** 2 / h[rows].sum()
+                    if gain > 1e-9 and (found is None or gain > found[0] + 1e-9):
+                        found = gain, rows[left], rows[~left]
+        return found
+
+    done, waiting = [], [(np.arange(len(y)), 0)]
+    while len(done) + len(waiting) < leaves:
+        candidates = [(best(r) if d < depth else None, r, d) for r, d in waiting]
+        candidates = [c for c in candidates if c[0]]
+        if not candidates:
+            break
+        (_, a, b), rows, d = max(candidates, key=lambda c: c[0][0])
+        waiting = [q for q in waiting if q[0] is not rows] + [(a, d + 1), (b, d + 1)]
+    return sorted((len(r), round(-rate * g[r].sum() / h[r].sum(), 9)) for r, _ in waiting)
+
+
+@pytest.mark.parametrize("leaves", [2, 5, 15])
+def test_trees_grow_like_a_plain_one(spark, leaves):
+    rng = np.random.default_rng(leaves)
+    x = rng.integers(0, 12, (500, 3)).astype(float)
+    x[rng.random((500, 3)) < 0.15] = np.nan
+    y = ((np.nan_to_num(x[:, 0], nan=9) > 6) ^ (np.nan_to_num(x[:, 1], nan=2) > 3) ^ (rng.random(500) < 0.1)).astype(float)
+    w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    df = spark.createDataFrame([(*(None if np.isnan(v) else float(v) for v in r), float(a), float(b)) for r, a, b in zip(x, y, w)], "a double, b double, c double, y double, w double")
+    base, trees = boosting.boost(df.repartition(3), ["a", "b", "c"], "y", "w", trees=1, rate=0.1, depth=4, leaves=leaves, least_rows=30)
+    nodes = boosting.node_rows(trees, ["a", "b", "c"])
+    found = sorted((n[6], round(n[5], 9)) for n in nodes if n[2] is None)
+    assert abs(base) < 1e-9 and len(found) <= leaves
+    assert found == plain_tree(x, y, w, 4, leaves, 30, 0.1)
+
+
+def test_more_tasks_than_mergers_and_kept_scores(spark, monkeypatch):
+    df = spark.range(400).selectExpr("CAST(id % 20 AS DOUBLE) AS a", "CAST(id % 20 > 11 OR id % 7 = 0 AS DOUBLE) AS y", "1.0D AS w")
+    ask = lambda: boosting.boost(df.repartition(6), ["a"], "y", "w", trees=4, rate=0.3, depth=2, leaves=4, least_rows=5)
+    first = boosting.node_rows(ask()[1], ["a"])
+    monkeypatch.setattr(boosting, "MERGERS", 2)
+    monkeypatch.setattr(boosting, "KEPT_TREES", 2)
+    second = boosting.node_rows(ask()[1], ["a"])
+    assert [n[:5] for n in first] == [n[:5] for n in second]
+    assert np.allclose([n[5] for n in first], [n[5] for n in second])
+
+
+def test_many_categories_and_nulls_are_learnt(spark, monkeypatch):
+    """A text column of 20,000 values, most of them once, and a number whose null means default."""
+    monkeypatch.setattr(model, "TREES", 5)
+    monkeypatch.setattr(model, "LEARNING_RATE", 0.5)
+    df = spark.range(40_000).selectExpr(
+        "CAST(id AS STRING) AS credito_id", "CAST(IF(id % 2 = 0, id % 10, id) AS STRING) AS ciudad", "IF(id % 4 = 1, NULL, CAST(id % 97 AS DOUBLE)) AS monto_credito",
+        "CAST(IF(id % 2 = 0, id % 10 IN (2, 6), id % 4 = 1) AS INT) AS es_moroso",
+    )
+    fitted = model.train(df)
+    from creditlake.operators.metrics import roc_auc
+
+    assert roc_auc(model.score_book(fitted, df)) > 0.97
+    unknown = spark.createDataFrame([("x", None, None), ("y", "nunca visto", 5.0)], "credito_id string, ciudad string, monto_credito double")
+    assert all(0 < r["probabilidad_mora"] < 1 for r in model.score_book(fitted, unknown).collect())

@@ -98,3 +98,12 @@ def test_many_ranks_over_many_partitions(spark):
         n, at = ranks.order_statistics(df, {"x": F.col("x")}, {"x": lambda n: wanted}, limit)["x"]
         ordered = np.sort(data)
         assert n == len(data) and all(at[r] == ordered[r] for r in wanted)
+
+
+def test_values_that_a_double_rounds(spark):
+    """One value, many equal values, and neighbours beyond 2^53."""
+    big = 2**60 + 123
+    for values in ([big], [big] * 500, [big + i % 7 for i in range(700)], [-big] * 3 + [big]):
+        df = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(3)
+        n, at = ranks.order_statistics(df, {"v": F.col("v")}, {"v": lambda n: range(0, n, max(1, n // 9))})["v"]
+        assert n == len(values) and all(v == sorted(values)[r] for r, v in at.items())

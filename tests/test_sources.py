@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlake.sources import bi_export, readers
-from creditlake.sources.upsert import VersionedTable, align_schema, merge_rows
+from creditlake.sources.upsert import KeyedTable, align_schema, merge_rows
 
 D = dt.date
 
@@ -92,19 +92,39 @@ def test_merge_edges(spark, rows_of):
         merge_rows(target, source.drop("k"), ["k"], ["seq"])
 
 
-def test_versioned_table(spark, tmp_path, rows_of):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    assert not table.exists()
-    table.write(spark.createDataFrame([(1, "x", 1.0)], TARGET))
-    before = table.read()
-    assert table.upsert(spark.createDataFrame([], "k int, a string"), ["k"]) == 0
-    assert table.upsert(spark.createDataFrame([(1, "y"), (2, "z"), (2, "z")], "k int, a string"), ["k"], ["a"]) == 2
-    assert rows_of(table.read(), "k") == [(1, "y", 1.0), (2, "z", None)]
-    assert rows_of(before) == [(1, "x", 1.0)]  # a reader of the old version is not disturbed
-    (tmp_path / "t" / "v=9").mkdir()  # an unfinished write
-    assert table.read().count() == 2
-    table.append(spark.createDataFrame([(5, "q", 0.5)], TARGET))
-    assert table.read().count() == 3
+def test_upsert_writes_only_touched_ranges(spark, tmp_path, rows_of):
+    path = tmp_path / "t"
+    schema = spark.createDataFrame([], TARGET).schema
+    table = KeyedTable(spark, str(path), schema, ("k",), 10)
+    assert table.read().count() == 0  # nothing was written yet
+    assert table.upsert(spark.createDataFrame([(1, "x"), (12, "x"), (25, "x"), (-3, "n")], "k int, a string")) == 4
+    table.upsert(spark.createDataFrame([(1, 1.0), (12, 2.0)], "k int, b double"))
+    files = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    assert table.upsert(spark.createDataFrame([], "k int, a string")) == 0
+    late = spark.createDataFrame([(12, "old", 1), (12, "new", 2), (17, None, 1), (None, "null key", 1)], "k int, a string, seq int")
+    assert table.upsert(late, ["seq"]) == 3
+    assert rows_of(table.read(), F.col("k").asc_nulls_first()) == [
+        (None, "null key", None), (-3, "n", None), (1, "x", 1.0), (12, "new", 2.0), (17, None, None), (25, "x", None)
+    ]
+    now = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    kept = {f: t for f, t in files.items() if f.parent.name in ("_part=0", "_part=2")}
+    assert len(kept) >= 2 and all(now.get(f) == t for f, t in kept.items())
+    assert not [f for f in files if f.parent.name == "_part=1" and f in now]
+    assert {f.name for f in path.iterdir() if not f.name.startswith("_part=")} <= {"_SUCCESS", "._SUCCESS.crc"}
+
+
+def test_upsert_edges(spark, tmp_path, rows_of):
+    schema = spark.createDataFrame([], "k string, a string").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ("k",), 4)
+    table.replace(spark.createDataFrame([(f"C{i}", "x") for i in range(9)], schema))
+    assert table.upsert(spark.createDataFrame([("C3",), ("C99",)], "k string")) == 1  # of keys alone, only new ones count
+    assert table.read().count() == 10 and table.read().where("a IS NULL").count() == 1
+    with pytest.raises(ValueError, match="last"):
+        table.upsert(spark.createDataFrame([("C5", "a"), ("C5", "b")], schema))
+    with pytest.raises(ValueError, match="missing"):
+        table.upsert(spark.createDataFrame([("a",)], "a string"))
+    table.replace(spark.createDataFrame([("Z", "z")], schema))
+    assert rows_of(table.read()) == [("Z", "z")]
 
 
 def test_hot_duplicate_keys_are_dropped_before_the_shuffle(spark, capsys):
@@ -118,25 +138,6 @@ def test_hot_duplicate_keys_are_dropped_before_the_shuffle(spark, capsys):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")  # the partial limit sits below the exchange
 
 
-def test_versions_of_two_writers(spark, tmp_path, rows_of):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.write(spark.createDataFrame([(1, "x", 1.0)], TARGET))
-    table.append(spark.createDataFrame([(2, "y", 2.0)], TARGET))
-    table.append(spark.createDataFrame([(3, "z", 3.0)], TARGET))
-    assert [r[0] for r in rows_of(table.read(), "k")] == [1, 2, 3]
-    late = VersionedTable(spark, str(tmp_path / "t"))
-    late._last = lambda: 2  # it began before the last append was finished
-    with pytest.raises(RuntimeError):
-        late.append(spark.createDataFrame([(4, "w", 4.0)], TARGET))
-    assert table.read().count() == 3
-    assert table.upsert(spark.createDataFrame([(3,), (9,)], "k int"), ["k"]) == 1  # of keys alone, only new ones count
-    with pytest.raises(ValueError):
-        table.upsert(spark.createDataFrame([(5, "a"), (5, "b")], "k int, a string"), ["k"])
-    table.vacuum()
-    assert [r[0] for r in rows_of(table.read(), "k")] == [1, 2, 3, 9]
-    assert len(list((tmp_path / "t").glob("v=*"))) == 1
-
-
 def test_dates_in_several_formats(spark, tmp_path, rows_of):
     lines = ["id,d", "1,2024-01-15", "2,2024/01/15", "3,20240115", "4,15-01-2024", "5,15/01/2024", "6,2024-13-45", "7,", "8,2024-01-15 10:00:00"]
     (tmp_path / "d.csv").write_text("\n".join(lines))
