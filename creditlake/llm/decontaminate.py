@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from creditlake.llm.common import small_batches
 
-#: Edits allowed, as a part of the item's length. Shorter items than the second number, after normalising, are not searched.
+#: Edits allowed, as a part of the item's length. Items shorter than the second number, after normalising, allow none, and must
+#: stand between word borders.
 ERRORS = 0.1
 SHORTEST = 40
 #: Characters of benchmark text that one pass over the documents searches; more text takes more passes.
@@ -100,7 +101,8 @@ class Searcher:
     def __init__(self, items: list[tuple[int, str]], errors: float, shortest: int):
         import ahocorasick
 
-        self.items = [Item(i, t, int(len(t) * errors)) for i, t in items if len(t) >= shortest]
+        self.items = [Item(i, t, int(len(t) * errors) if len(t) >= shortest else 0) for i, t in items if t]
+        self.short = [len(t) < shortest for _, t in items if t]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, item in enumerate(self.items):
             for k, (start, stop, _) in enumerate(item.leaves):
@@ -124,6 +126,8 @@ class Searcher:
                 item = self.items[n]
                 start, stop, above = item.leaves[k]
                 at = end + 1 - (stop - start)
+                if self.short[n] and (text[at - 1 : at].isalnum() or text[end + 1 : end + 2].isalnum()):
+                    continue
                 # One item, one diagonal, one leaf: repeated words of a leaf are tried at each place, others once.
                 seen = tried.setdefault(n, set())
                 spot = (at - start) * len(item.leaves) + k
@@ -142,12 +146,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS, short
     Texts are compared in lower case with single spaces. An item of n characters may differ by up to `errors` times n edits,
     rounded down. It is cut into one piece more than that, one of which must then occur as it is; pieces are searched all at
     once, and a hit is verified over twice the range again and again, by Myers' distance with the edits that range may
-    have, up to the whole item. `edits` is the least found and `end` where that part ends in the compared text.
+    have, up to the whole item. `edits` is the least found and `end` where that part ends in the compared text. Items shorter
+    than `shortest` are found where they stand as they are, with no letter or digit beside them.
 
     The test items are broadcast in blocks of `block` characters, each of which is one more pass over the documents, so
     a large benchmark takes longer but no more memory. Whole texts are searched and all items reported.
 
-    Null and empty texts contain nothing; null, empty and shorter items than `shortest` are not searched. Repeated documents
+    Null and empty texts contain nothing; null and empty items are not searched. Repeated documents
     and items give repeated rows. Empty tables give an empty result. Other columns are not read.
     """
     spark = docs.sparkSession

@@ -113,8 +113,9 @@ def _card(text: str, move: Move) -> str | None:
     if not _is_card(text):
         return None
     digits = "".join(c for c in text if c.isdigit())
-    # The first digit, which names the network, stays.
-    own = digits[0] + _signs(digits[1:-1], f"card {digits[0]}", move)
+    # The digits that name the network, and so the length, stay.
+    keep, _ = _network(digits)
+    own = digits[:keep] + _signs(digits[keep:-1], f"card {digits[:keep]}", move)
     return _refill(text, own + _check_digit(own))
 
 
@@ -211,7 +212,7 @@ KINDS: dict[str, tuple[str, Callable[[str, Move], str | None]]] = {
 _PATTERNS = [(k, re.compile(p), f) for k, (p, f) in KINDS.items()]
 
 
-#: Kinds whose pattern may reach into what follows, and how a value is checked.
+#: Kinds whose pattern may reach into what stands beside a value, and how a value is checked.
 _CHECKED = {"card": _is_card, "iban": _is_iban}
 #: Signs of a country's IBAN.
 _LENGTHS = {c[:2]: int(c[2:]) for c in (
@@ -219,62 +220,73 @@ _LENGTHS = {c[:2]: int(c[2:]) for c in (
     "PL28 PT25 RO24 SE24 SI19 SK24").split()}
 
 
-def _first(kind: str, pattern: re.Pattern, text: str, at: int, free: Callable[[int, int], bool]) -> tuple[int, int] | None:
-    """The first span from `at` on that passes the check: from each start the longest, or an IBAN of its country's length.
+#: First digits of the networks (from, to) and the digits of their cards.
+_NETWORKS = (("4", "4", 16), ("51", "55", 16), ("2221", "2720", 16), ("34", "34", 15), ("37", "37", 15), ("35", "35", 16), ("60", "65", 16),
+             ("30", "30", 14), ("36", "36", 14), ("38", "39", 14))
 
-    A match may take in groups that follow the value, or begin with groups before it, so it is also tried up to each
-    group border inside, and then from the next group.
+
+def _network(digits: str) -> tuple[int, int]:
+    """How many first digits name the network, and how many digits its cards have; 1 and 0 for others."""
+    for low, high, n in _NETWORKS:
+        if low <= digits[: len(low)] <= high:
+            return len(low), n
+    return 1, 0
+
+
+def _candidates(kind: str, m: re.Match, text: str) -> Iterator[tuple[int, int]]:
+    """Spans inside a match, best first. A match may take in groups that follow the value, or begin with groups before it.
+
+    First cards of their network's length from the start of a group to the end of one, and IBANs of their country's length, so
+    what stands beside them makes no difference; then, for other networks and countries, the longest run of groups.
     """
-    while m := pattern.search(text, at):
-        a = m.start()
-        ends = [m.end(), *(i for i in range(m.end() - 1, a, -1) if not text[i].isalnum())]
-        if kind == "iban":
-            ends.sort(key=lambda z: len(text[a:z].replace(" ", "")) != _LENGTHS.get(text[a : a + 2]))
-        for z in ends:
-            if free(a, z) and _CHECKED[kind](text[a:z]):
-                return a, z
-        at = a + 1
-    return None
-
-
-def _checked(kind: str, pattern: re.Pattern, replace, text: str, move: Move, free: Callable[[int, int], bool]) -> Iterator[tuple[int, int, str]]:
+    a, end = m.span()
+    if kind == "iban":
+        ends = [end, *(i for i in range(end - 1, a, -1) if not text[i].isalnum())]
+        ends.sort(key=lambda z: len(text[a:z].replace(" ", "")) != _LENGTHS.get(text[a : a + 2]))
+        yield from ((a, z) for z in ends)
+        return
+    places = [i for i in range(a, end) if text[i].isdigit()]
+    starts = [k for k, i in enumerate(places) if k == 0 or text[i - 1] == " "]
+    stops = [i + 1 for i in places if i + 1 == end or not text[i + 1].isdigit()]
+    for k in starts:
+        _, n = _network("".join(text[i] for i in places[k : k + 4]))
+        if n and k + n <= len(places) and places[k + n - 1] + 1 in stops:
+            yield places[k], places[k + n - 1] + 1
+    for k in starts:
+        yield from ((places[k], z) for z in reversed(stops) if z > places[k])
+
+
+def _checked(kind: str, pattern: re.Pattern, text: str, taken: bytearray) -> Iterator[tuple[int, int]]:
+    """The spans that pass the check and are not taken, from left to right."""
     at = 0
-    while span := _first(kind, pattern, text, at, free):
-        a, z = span
-        new, low, high = replace(text[a:z], move), max(at - 1, 0), z + 64
-        # Moved on until it is found between its neighbours just as the value was, so that it can be turned back.
-        while _first(kind, pattern, text[low:a] + new + text[z:high], at - low, lambda i, j: free(i + low, j + low)) != (a - low, z - low):
-            new = replace(new, move)
-        yield a, z, new
-        at = z
+    while m := pattern.search(text, at):
+        at = m.start() + 1
+        for a, z in _candidates(kind, m, text):
+            if 1 not in taken[a:z] and _CHECKED[kind](text[a:z]):
+                yield a, z
+                at = z
+                break
 
 
 def _apply(text: str, move: Move) -> tuple[str, dict[str, int], list[tuple[int, int]]]:
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
+    taken = bytearray(len(text))
     digits = re.search(r"\d", text) is not None
     for kind, pattern, replace in _PATTERNS:
         if kind == "email" and "@" not in text or kind not in ("email", "token") and not digits:
             continue
-        if kind in _CHECKED:
-            free = lambda i, j: not any(a < j and i < z for a, z in taken)
-            for a, z, new in _checked(kind, pattern, replace, text, move, free):
-                found.append((a, z, kind, new))
-                taken.append((a, z))
-            continue
-        for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < z for a, z in taken):
-                continue
-            new = replace(m[0], move)
+        spans = _checked(kind, pattern, text, taken) if kind in _CHECKED else (m.span() for m in pattern.finditer(text))
+        for a, z in spans:
+            new = None if 1 in taken[a:z] else replace(text[a:z], move)
             if new is not None:
-                found.append((m.start(), m.end(), kind, new))
-                taken.append((m.start(), m.end()))
+                found.append((a, z, kind, new))
+                taken[a:z] = b"\1" * (z - a)
     out, at, counts = [], 0, {}
     for a, z, kind, new in sorted(found):
         out += [text[at:a], new]
         at = z
         counts[kind] = counts.get(kind, 0) + 1
-    return "".join(out) + text[at:], counts, sorted(taken)
+    return "".join(out) + text[at:], counts, sorted((a, z) for a, z, _, _ in found)
 
 
 def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int], list[tuple[int, int]]]:
@@ -294,9 +306,9 @@ def replace_personal_data(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     valid ranges, IPv4 addresses, telephone numbers, dates between 1900 and 2099, and access keys are permuted among all
     values of their format by a key. The same value has the same pseudonym in every document, however it is grouped;
     check digits and calendar days stay valid. Numbers that fail the check stay as they are, and so does all other text.
-    `restore` turns pseudonyms back, but for capitals in addresses, dates written month first whose new day is below 13, and some
-    cards or IBANs side by side. Cards and IBANs beside other groups of digits or capitals are found at the group borders; one whose
-    pseudonym could be read together with those groups has another pseudonym there.
+    Cards and IBANs beside other groups of digits or capitals are found at the group borders, by the length that their network or
+    country has, and have the same pseudonym as alone; those groups stay. `restore` turns pseudonyms back, but for capitals in
+    addresses, dates written month first whose new day is below 13, and some numbers of no known network beside other groups.
 
     A null text stays null with nothing replaced. Columns of the input called replaced or kinds are replaced. Empty tables
     give an empty result, and rows stay as they are otherwise.

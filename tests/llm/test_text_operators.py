@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -95,7 +96,7 @@ def test_bit_parallel_distance():
 
 def test_benchmark_matches(spark, words, edge_docs, no_docs):
     rng = random.Random(4)
-    items = [(i, words(20)) for i in range(8)] + [(50, None), (51, ""), (52, "short one"), (3, words(30))]
+    items = [(i, words(20)) for i in range(8)] + [(50, None), (51, ""), (52, "Short  One"), (53, "ort one"), (3, words(30))]
     docs, expected = [], set()
     for d in range(80):
         i, t = items[d % 8]
@@ -104,9 +105,13 @@ def test_benchmark_matches(spark, words, edge_docs, no_docs):
             at = rng.randrange(len(chars))
             chars[at : at + rng.randint(0, 2)] = rng.choice("abcxyz ")
         docs.append((d, (words(40) + " " + "".join(chars) + "\n" + words(40)).upper() if d % 3 else words(100)))
+    docs += [(900, "a short one."), (901, words(5) + "\nSHORT one"), (902, "ashort one"), (903, "short ones, a short\t one")]
     for d, t in docs:
         for i, item in items:
-            if item and len(item) >= 40:
+            if item and len(item) < 40:
+                if re.search(rf"(?<!\w){re.escape(decontaminate.normalise(item))}(?!\w)", decontaminate.normalise(t)):
+                    expected.add((d, i, 0))
+            elif item:
                 item = decontaminate.normalise(item)
                 edits = plain_distance(item, decontaminate.normalise(t))
                 if edits <= int(0.1 * len(item)):
@@ -114,8 +119,7 @@ def test_benchmark_matches(spark, words, edge_docs, no_docs):
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     for block in (1 << 20, 300):
         found = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.matches(df, bench, block=block).collect()}
-        assert {x[:2] for x in found} == {x[:2] for x in expected}
-        assert all(e <= int(0.1 * 200) for _, _, e in found)
+        assert found == expected and {d for d, _, _ in found} >= {900, 901, 903}
     dirty = {d for d, _, _ in expected}
     assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == {d for d, _ in docs} - dirty
     whole = decontaminate.clean(edge_docs, bench)
@@ -233,18 +237,29 @@ def test_risk_estimator_separates_hidden_positives():
     assert np.mean([m.score(x) >= 0.5 for x in clean]) < 0.02
 
 
-def test_cards_and_ibans_beside_other_groups_are_hidden():
-    card, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "AT61 1904 3002 3457 3201"
-    seen = {}
-    for value in (card, amex, card.replace(" ", ""), card.replace(" ", "-"), iban):
-        for before in ("card ", "12 ", "no. 2024 "):
-            for after in ("", " 12/27", " 123", " 7", " 99 of 100", " EUR", " VISA GOLD", "."):
+def test_cards_and_ibans_have_one_pseudonym_in_every_context():
+    rng = random.Random(2)
+    values = ["4111 1111 1111 1111", "3782 822463 10005", "AT61 1904 3002 3457 3201", "4111111111111111", "4111-1111-1111-1111"]
+    for _ in range(60):
+        body = rng.choice(["4", "51", "37"]) + "".join(rng.choice("0123456789") for _ in range(13))
+        body = body[:14] if body[:2] == "37" else (body + "7" * 3)[:15]
+        plain = body + pii._check_digit(body)
+        values.append(plain if len(plain) == 15 else " ".join(plain[i : i + 4] for i in range(0, 16, 4)))
+    for value in values:
+        alone = pii.pseudonymise(value)[0]
+        assert alone != value and len(alone) == len(value)
+        for before in ("card ", "12 ", "no. 2024 ", ""):
+            for after in ("", " 12/27", " 123", " 7", " 34", " 99 of 100", " EUR", " VISA GOLD", ".", " 123 times"):
                 text = before + value + after
-                hidden, kinds, _ = pii.pseudonymise(text)
-                assert value not in hidden and kinds, text
-                assert pii.restore(hidden) == text
-                seen.setdefault(value, []).append(hidden[len(before) : len(before) + len(value)])
-    assert seen[card].count(max(seen[card], key=seen[card].count)) >= 12
+                assert pii.pseudonymise(text)[0] == before + alone + after, text
+                assert pii.restore(before + alone + after) == text
+
+
+def test_many_matches_take_linear_time():
+    text = "paid 1980-02-29 by 4111 1111 1111 1111; " * 30_000
+    start = time.process_time()
+    assert pii.pseudonymise(text)[1] == {"date": 30_000, "card": 30_000}
+    assert time.process_time() - start < 30
 
 
 def test_one_telephone_number_has_one_pseudonym():
