@@ -225,6 +225,9 @@ _NETWORKS = (("4", "4", 16), ("51", "55", 16), ("2221", "2720", 16), ("34", "34"
              ("30", "30", 14), ("36", "36", 14), ("38", "39", 14))
 
 
+_GOES_ON = re.compile(r"\w|[.-]\d")
+
+
 def _network(digits: str) -> tuple[int, int]:
     """How many first digits name the network, and how many digits its cards have; 1 and 0 for others."""
     for low, high, n in _NETWORKS:
@@ -245,15 +248,21 @@ def _candidates(kind: str, m: re.Match, text: str) -> Iterator[tuple[int, int]]:
         ends.sort(key=lambda z: len(text[a:z].replace(" ", "")) != _LENGTHS.get(text[a : a + 2]))
         yield from ((a, z) for z in ends)
         return
-    places = [i for i in range(a, end) if text[i].isdigit()]
-    starts = [k for k, i in enumerate(places) if k == 0 or text[i - 1] == " "]
-    stops = [i + 1 for i in places if i + 1 == end or not text[i + 1].isdigit()]
+    # The groups go on behind the match, which is bounded: a card may begin in it and end there.
+    places, i = [], a
+    while i < len(text) and len(places) < 38 and (text[i].isdigit() or text[i] in " -" and text[i + 1 : i + 2].isdigit()):
+        places += [i] if text[i].isdigit() else []
+        i += 1
+    starts = [k for k, i in enumerate(places) if i < end and (k == 0 or text[i - 1] == " ")]
+    stops = [i + 1 for i in places if not text[i + 1 : i + 2].isdigit()]
     for k in starts:
         _, n = _network("".join(text[i] for i in places[k : k + 4]))
-        if n and k + n <= len(places) and places[k + n - 1] + 1 in stops:
-            yield places[k], places[k + n - 1] + 1
+        if n and k + n <= len(places):
+            z = places[k + n - 1] + 1
+            if z in stops and not _GOES_ON.match(text, z):
+                yield places[k], z
     for k in starts:
-        yield from ((places[k], z) for z in reversed(stops) if z > places[k])
+        yield from ((places[k], z) for z in reversed(stops) if places[k] < z <= end)
 
 
 def _checked(kind: str, pattern: re.Pattern, text: str, taken: bytearray) -> Iterator[tuple[int, int]]:
