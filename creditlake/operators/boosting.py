@@ -173,7 +173,7 @@ def boost(
 ) -> tuple[float, list[Tree]]:
     """The starting score (log odds of the weighted rows) and the trees, for a label of 0 and 1 under log loss.
 
-    Features are doubles; null and NaN are missing, for which each split learns a side. Values are put into `bins` bins
+    Rows without a label or weight are left out. Features are doubles; null and NaN are missing, for which each split learns a side. Values are put into `bins` bins
     by quantiles, one byte for each, and written once; so are the scores after each `KEPT_TREES` trees. The driver holds
     the histograms of one level: 2^(depth - 1) nodes by features by bins.
     """
@@ -181,7 +181,7 @@ def boost(
         raise ValueError("bins are 2 to 254")
     ship_package(rows.sparkSession)
     named = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(features)]
-    plain = stage(rows.select(*named, F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w")), "features")
+    plain = stage(rows.select(*named, F.col(label).cast("double").alias("y"), F.col(weight).cast("double").alias("w")).where("y IS NOT NULL AND w IS NOT NULL"), "features")
     edges = _edges(plain, features, bins)
     odds = plain.agg(F.sum(F.col("w") * F.col("y")).alias("p"), F.sum("w").alias("all")).first()
     base = float(np.log(odds["p"] / (odds["all"] - odds["p"])))

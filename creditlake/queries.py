@@ -600,8 +600,8 @@ def tree_stump(spark, sf_dir):
     return leaves.join(F.broadcast(top))  # one row
 
 
-#: A default that is known: a null or low external score, or a long term of a client in a low stratum.
-KNOWN = "CAST((score_externo IS NULL OR (plazo_meses >= 24 AND estrato <= 3)) AS INT)"
+#: A default that is known: no external score, or a long term of a client in a low stratum.
+KNOWN = "CAST(score_externo IS NULL OR coalesce(plazo_meses >= 24 AND estrato <= 3, false) AS INT)"
 
 
 @query
@@ -609,8 +609,8 @@ def tree_leaves(spark, sf_dir):
     """A model of a known rule with nulls in it: rows in the leaves of each tree, recounted by its splits as SQL."""
     rows = _labelled(spark, sf_dir).select("credito_id", "plazo_meses", "estrato", "edad", F.when(F.col("credito_id") % 3 > 0, F.col("score_externo")).alias("score_externo"))
     rows = stage(rows.withColumn("es_moroso", F.expr(KNOWN)), "known")
-    fitted = model.train(rows, ["plazo_meses", "estrato", "edad", "score_externo"])
-    nodes = stage(fitted.nodes().where("arbol < 5"), "nodes")
+    fitted = model.train(rows, ["plazo_meses", "estrato", "edad", "score_externo"], trees=5)
+    nodes = stage(fitted.nodes(), "nodes")
     splits = {(r["arbol"], r["nodo"]): r for r in nodes.where("feature IS NOT NULL").collect()}
 
     def leaf(tree: int, node: int) -> str:
