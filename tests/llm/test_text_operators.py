@@ -180,9 +180,55 @@ def test_alignment_is_a_best_matching():
         order_a, order_b = ({id(x): i for i, x in enumerate(html.leaves(t))} for t in (a, b))
         places = sorted((order_a[id(x)], order_b[id(y)]) for x, y in pairs)
         assert [q for _, q in places] == sorted(q for _, q in places)
-        gained = sum(2 if x.key == y.key else 1 for x, y in pairs)
-        assert gained <= plain_matching(a, b)
+        for cells in (1_000_000, 1):
+            matched = html.match(a, b, cells)
+            assert len({id(x) for x, _ in matched}) == len(matched) == len({id(y) for _, y in matched})
+            assert sum(2 if x.text is not None and x.key == y.key else 1 for x, y in matched) == plain_matching(a, b)
     assert html.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+    deep = [html.from_skeleton(html.skeleton("<div>" * 5000 + f"<p>same</p>{t}" + "</div>" * 5000)) for t in "xy"]
+    assert [x.key == y.key for x, y in html.align(*deep)] == [True, False]
+    wide = [html.from_skeleton(html.skeleton("<main>" + "".join(f"<p>{i % k}</p>" for i in range(400)))) for k in (7, 11)]
+    weights = [sum(2 if x.text is not None and x.key == y.key else 1 for x, y in html.match(*wide, cells)) for cells in (10**6, 500)]
+    assert weights == [plain_matching(*wide)] * 2
+
+
+def test_what_goes_and_what_stays():
+    deep = "<div>" * 400 + "<nav>Home</nav><ul class=menu><li>x</ul><p>text" + "</div>" * 400
+    assert html.main_text(deep) == "text"
+    kept = (
+        '<article><section id="related-work"><h2>Related work</h2></section><div class="search-results-table">r</div>'
+        '<p class="comment-on-method">m</p><p><a href="/x">one link</a></p><p>so <math><mi>x</mi></math> is</p>'
+    )
+    gone = '<div class="share">s</div><div class="comment-list">c</div><ul id=related-posts><li>r</ul><aside>a</aside></article><p>out'
+    assert html.main_text(kept + gone) == "\n\n".join(("Related work", "r", "m", "one link", "so x is"))
+    menu = "<div><a>Home</a> | <a>News</a> | <a>Us</a></div>"
+    assert html.main_text(f"<body>{menu}<p><a>A paragraph that is one link.</a></p><p>Text with <a>a</a> <a>b</a> <a>c</a>") == (
+        "A paragraph that is one link.\n\nText with a b c"
+    )
+
+
+def test_each_layout_of_a_host_has_its_template(spark, words):
+    pages, expected = [], {}
+    for i in range(60):
+        kind = "abccbaabca"[i % 10]  # none of the layouts has more than 40 % of the pages
+        title, body = f"Title {i}", words(40)
+        fixed = f"<p class=line>Read layout {kind} each day</p>"
+        html_of = {
+            "a": f"<div class=a-page>{fixed}<h1>{title}</h1><p>{body}</p></div>",
+            "b": f"<div class=b-page><h1>{title}</h1><div class=b-text><p>{body}</p>{fixed}</div></div>",
+            "c": f"<section class=c-{i}><h1>{title}</h1>{fixed}<p>{body}</p></section>",
+        }
+        pages.append((i, "https://layouts.example.org/", html_of[kind]))
+        expected[i] = f"{title}\n\n{body}"
+    # Classes that no other page has: these pages share one layout.
+    for i in range(60, 70):
+        title, body = f"Title {i}", words(40)
+        pages.append((i, "https://layouts.example.org/", f"<div class=z{'xyzuvwrstq'[i - 60]}><p>always here</p></div><div><h1>{title}</h1><p>{body}</p></div>"))
+        expected[i] = f"{title}\n\n{body}"
+    rows = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    found = {r.page_id: r.text for r in rows}
+    assert {i: t for i, t in found.items() if i < 60} == {i: t for i, t in expected.items() if i < 60}
+    assert len(rows) == 70 and all(expected[i] in found[i] for i in range(60, 70))
 
 
 def test_permutation_is_one_to_one():
