@@ -1,5 +1,6 @@
 """Tokens, languages, benchmark matches, pages, pseudonyms and toxicity against plain versions."""
 
+import math
 import random
 import re
 import time
@@ -7,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from creditlake.llm import decontaminate, html, langid, pii, tokens, toxicity
 from creditlake.llm.common import in_training
 from creditlake.settings import scratch_path
@@ -277,12 +279,63 @@ def test_risk_estimator_separates_hidden_positives():
     rng = np.random.default_rng(0)
     clean = [np.unique(rng.integers(100, 5000, 40)).astype(np.int32) for _ in range(2000)]
     toxic = [np.unique(np.append(rng.integers(100, 5000, 40), rng.choice(10, 3))).astype(np.int32) for _ in range(400)]
-    m = toxicity.fit(toxic[:200], clean + toxic[200:], [0] * 500 + [-1] * 1700, 0.1)
+    # A third of the confirmed ones are in the sample of all documents too.
+    m = toxicity.fit(toxic[:200], clean + toxic[200:] + toxic[:66], 0.12)
     assert set(range(10)) <= set(m.words.tolist()) and len(m.words) < 20
     assert np.mean([m.score(x) >= 0.5 for x in toxic[200:]]) > 0.95
     assert np.mean([m.score(x) >= 0.5 for x in clean]) < 0.02
 
 
+def plain_risk(zx, zu, prior):
+    """Both parts by their sums, one document at a time."""
+    loss = lambda z: math.log1p(math.exp(-z))
+    confirmed = sum(prior * loss(z) for z in zx) / len(zx)
+    return confirmed, sum(loss(-z) for z in zu) / len(zu) - sum(prior * loss(-z) for z in zx) / len(zx)
+
+
+@pytest.mark.parametrize("shift", [-2, 0, 3])
+def test_risk_and_slopes_are_those_of_the_plain_sums(shift):
+    rng = np.random.default_rng(3)
+    zx, zu, prior = rng.normal(shift, 1, 7), rng.normal(-shift, 1, 11), 0.4
+    first, second = plain_risk(zx, zu, prior)
+    assert np.allclose(toxicity.risk(zx, zu, prior), (first, second))
+    assert (second < 0) == (shift == 3)
+    minimised = lambda a, b: sum(plain_risk(a, b, prior)) if second >= 0 else -plain_risk(a, b, prior)[1]
+    gx, gu = toxicity.slopes(zx, zu, prior)
+    for z, g, of in ((zx, gx, 0), (zu, gu, 1)):
+        for i in range(len(z)):
+            up, down = z.copy(), z.copy()
+            up[i], down[i] = z[i] + 1e-5, z[i] - 1e-5
+            pair = [(up, zu), (down, zu)] if of == 0 else [(zx, up), (zx, down)]
+            assert abs((minimised(*pair[0]) - minimised(*pair[1])) / 2e-5 - g[i]) < 1e-6
+
+
+def test_threshold_has_the_least_zero_one_risk():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        zx, zu, prior = rng.integers(-3, 4, 9).astype(float), rng.integers(-5, 3, 20).astype(float), rng.uniform(0.05, 0.5)
+        error = lambda t: prior * np.mean(zx < t) + max(0, np.mean(zu >= t) - prior * np.mean(zx >= t))
+        best = min(error(t) for t in {*zx, *zu})
+        assert abs(error(toxicity.threshold(zx, zu, prior)) - best) < 1e-12
+
+
+def test_toxic_texts_stay_in_the_sample_of_all_texts(spark, words, monkeypatch):
+    """Every training text is in the unlabelled sample, the labelled toxic ones and copies included."""
+    seen = []
+    texts = ["vile slur " + words(20) if i % 5 == 0 else words(20) for i in range(200)] + ["copy " + words(20)] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
+    real = toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    models = toxicity.learn(docs, labels)
+    training = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5]
+    rows = [tuple(r) for r in seen[0].collect()]
+    assert sorted(rows) == sorted([(i, 0) for i in training] + [(i, 1) for i in training if i < 200 and i % 5 == 0])
+    assert len(models) == toxicity.BAGS
+    scores = {r.doc_id: r.predicted for r in toxicity.score(docs, models).collect()}
+    assert [scores[i] for i in range(200)] == [int(i % 5 == 0) for i in range(200)] and not scores[210]
+
+
 def test_cards_and_ibans_have_one_pseudonym_in_every_context():
     rng = random.Random(2)
     values = ["4111 1111 1111 1111", "3782 822463 10005", "AT61 1904 3002 3457 3201", "4111111111111111", "4111-1111-1111-1111"]
