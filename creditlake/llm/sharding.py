@@ -62,7 +62,9 @@ def shard(docs: DataFrame, shards: int = 24, cells: int = CELLS, virtual: int =
     Documents hash into `cells` fixed cells of the ring, by id and text; cells go to shards with bounded loads, where the
     load is the bytes of the text plus 8. Only the loads of the cells, at most `cells` numbers, reach the driver, and
     the same number of pairs comes back as a broadcast table. Another shard or other documents move the cells that
-    then overflow or gain a nearer shard, and no others. Slots number a shard's documents from 0 by id.
+    then overflow or gain a nearer shard, and no others. Slots number a shard's documents from 0 by id. Rows with equal id and
+    text share a cell, hence a shard; documents with equal texts but other ids do not, since a text that a third of the rows
+    hold would fill more than a shard.
 
     A null text has no bytes and the checksum of none; a null id hashes like any value; repeated rows share a cell and
     have slots of their own. An empty table gives an empty result, and shards may stay empty if there are few documents.

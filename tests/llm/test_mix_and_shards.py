@@ -1,8 +1,10 @@
 """Mixing and sharding against plain versions."""
 
+import random
 from collections import Counter
 
 from creditlake.llm import mixing, sharding
+from pyspark.sql import functions as F
 
 
 def plain_targets(sizes):
@@ -71,3 +73,38 @@ def test_bounded_loads_move_little():
     assert max(full.values()) - min(full.values()) <= 2 * 106
     # All would move under a plain modulus; the ring moves a part, most of it towards the new shard or away from full ones.
     assert sum(before[c] != after[c] for c in loads) < 0.5 * len(loads)
+
+
+def plain_place(loads, shards, virtual):
+    """Each cell walks over the nodes of the ring one by one."""
+    nodes = sorted((sharding._spot(f"{s}/{v}"), s) for s in range(shards) for v in range(virtual))
+    full, used, placed = -(-sum(loads.values()) // shards), [0] * shards, {}
+    for cell, load in sorted(loads.items(), key=lambda x: (-x[1].bit_length(), x[0])):
+        at = sharding._spot(f"cell {cell}")
+        walk = [s for p, s in nodes if p >= at] + [s for p, s in nodes if p < at]
+        fits = [s for s in walk if used[s] + load <= full]
+        least = min(used)
+        placed[cell] = fits[0] if fits else next(s for s in walk if used[s] == least)
+        used[placed[cell]] += load
+    return placed
+
+
+def test_cells_go_where_a_plain_walk_takes_them():
+    rng = random.Random(6)
+    for shards, virtual in ((1, 3), (5, 4), (24, 8)):
+        for _ in range(6):
+            loads = {c: rng.choice([8, 30, 100, rng.randint(8, 5000)]) for c in rng.sample(range(2000), 150)}
+            assert sharding.place_cells(loads, sharding.Ring(shards, virtual)) == plain_place(loads, shards, virtual)
+
+
+def test_documents_follow_the_cells(spark):
+    """Shards of documents, as the plain walk gives them for cells made from id and text."""
+    docs = spark.createDataFrame([(i % 90, "y" * (i * 31 % 400)) for i in range(400)], "doc_id long, text string")
+    cell = F.pmod(F.xxhash64("doc_id", "text"), F.lit(64)).cast("int")
+    loads, cells = Counter(), {}
+    for r in docs.select("doc_id", F.crc32("text").alias("crc"), F.length("text").alias("n"), cell.alias("cell")).collect():
+        loads[r.cell] += r.n + 8
+        cells[r.doc_id, r.crc] = r.cell
+    expected = plain_place(loads, 6, 4)
+    rows = sharding.shard(docs, 6, cells=64, virtual=4).collect()
+    assert len(rows) == 400 and all(r.shard == expected[cells[r.doc_id, r.text_crc32]] for r in rows)
