@@ -300,6 +300,8 @@ FROM raw_clientes""",
         "SELECT credito_id, prev_evento_sesion_seg_tot, ROUND(prev_evento_sesion_seg_avg, 6) AS prev_evento_sesion_seg_avg FROM eventos_py",
     ),
     "abt_py": _with("abt_py", "SELECT * FROM abt_py"),
+    "abt_from_csv": _with("abt_py", "SELECT * FROM abt_py"),
+    "abt_from_parquet": _with("abt_py", "SELECT * FROM abt_py"),
     "abt_sql": _with("abt_sql", "SELECT * FROM abt_sql"),
     "insight_a": _with(
         "abt_sql",

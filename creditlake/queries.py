@@ -114,6 +114,26 @@ def scan_predictions(spark, sf_dir):
     )
 
 
+def _rounded(abt: DataFrame) -> DataFrame:
+    return abt.withColumn("prev_evento_sesion_seg_avg", F.round("prev_evento_sesion_seg_avg", 6))
+
+
+@query
+def abt_from_csv(spark, sf_dir):
+    """The base table written as plain CSV and read back by its suffix."""
+    path, abt = scratch_path(spark, "abt") + ".csv", _abt(spark, sf_dir)
+    bi_export.write_plain_csv(abt, path)
+    return _rounded(readers.read_abt(spark, path, abt.schema))
+
+
+@query
+def abt_from_parquet(spark, sf_dir):
+    """The base table read back by the other suffix."""
+    path = scratch_path(spark, "abt") + ".parquet"
+    _abt(spark, sf_dir).write.parquet(path)
+    return _rounded(readers.read_abt(spark, path))
+
+
 @query
 def lake_csv_format(spark, sf_dir):
     path = scratch_path(spark, "fact_creditos.csv")
@@ -313,7 +333,7 @@ def eventos_sesion(spark, sf_dir):
 
 @query
 def abt_py(spark, sf_dir):
-    return _abt(spark, sf_dir).withColumn("prev_evento_sesion_seg_avg", F.round("prev_evento_sesion_seg_avg", 6))
+    return _rounded(_abt(spark, sf_dir))
 
 
 @query
