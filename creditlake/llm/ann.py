@@ -22,6 +22,8 @@ TARGET = 0.96
 SAMPLE = 128
 #: Rows of a block, and about as many queries that meet it in one task.
 BLOCK = 2048
+#: Vectors kept beyond those asked for, so that the last bits of block products leave none out that the exact cosine prefers.
+SPARE = 8
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -66,9 +68,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int, allowed: np.ndarray | None = None):
-    """For each query, places of its up to k best rows with their cosines, ties to the smaller id."""
+    """For each query, places of its up to k best rows with their cosines to 13 digits, ties to the smaller id."""
     by_id = np.argsort(row_ids, kind="stable")
-    cos = queries @ rows[by_id].T
+    cos = np.round(queries @ rows[by_id].T, 13)  # the last bits depend on the shape of the block
     if allowed is not None:
         cos = np.where(allowed[:, by_id], cos, -np.inf)
     order = np.argsort(-cos, axis=1, kind="stable")[:, :k]
@@ -140,26 +142,34 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, curves: int = CURVES,
     holds `target` of their true neighbours on at least one curve. So recall holds at any size, and the work follows
     how well the data cluster: where directions carry no order, the windows grow until they cover most of the table.
 
-    Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null ids; vectors of different
-    length are an error. A repeated row counts once. Ties go to the smaller id. An empty table gives an empty result;
-    other columns are not read.
+    The cosines of what is found are computed again from the original vectors, one pair at a time in one order, so they do not
+    depend on how rows met in blocks.
+
+    Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null ids. A vector's neighbours
+    have its length: vectors of each length are searched by themselves. A repeated row counts once. Ties go to the smaller
+    id. An empty table gives an empty result; other columns are not read.
     """
-    spark = table.sparkSession
-    schema = "query_id long, rank int, vec_id long, score double"
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("embedding")))
     first = Window.partitionBy("embedding").orderBy("vec_id")
     equal = rows.withColumn("n", F.dense_rank().over(first)).where(F.col("n") <= k + 1)
     equal = equal.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     vectors = stage(equal.select(F.element_at("ids", 1).alias("vid"), "embedding", "ids"), "vectors")
-    n, short, dim = vectors.agg(F.count("*"), F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
-    if not n:
-        return spark.createDataFrame([], schema)
-    if short != dim:
-        raise ValueError(f"vectors of {short} to {dim} components in one table")
-
+    lengths = sorted((r[0], r[1]) for r in vectors.groupBy(F.size("embedding")).agg(F.count("*")).collect())
     asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("asked")).distinct()
-    asked = stage(asked.join(vectors, F.col("asked") == F.col("embedding")).select("query_id", "vid"), "asked")
+    asked = stage(asked.join(vectors, F.col("asked") == F.col("embedding")).select("query_id", "vid", F.size("asked").alias("dim")), "asked")
+    result = table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for dim, n in lengths:
+        own, queries = vectors, asked
+        if len(lengths) > 1:
+            own, queries = vectors.where(F.size("embedding") == dim), asked.where(F.col("dim") == dim)
+        found = _search(own, queries.select("query_id", "vid"), n, dim, k, curves, target, seed)
+        result = found if len(lengths) == 1 else result.union(found)
+    return result
+
+
+def _search(vectors: DataFrame, asked: DataFrame, n: int, dim: int, k: int, curves: int, target: float, seed: int) -> DataFrame:
+    """`nearest` among n different vectors of one length."""
     wanted = asked.select("vid").distinct()
     n_wanted = wanted.count()
     places = stage(ranked(_curves(vectors, dim, curves, seed), ["curve"], [F.col("key"), F.col("vid")], "place").select("curve", "vid", "place"), "places")
@@ -184,7 +194,7 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, curves: int = CURVES,
             parts = []
             for i in range(0, len(q), 512):
                 near = np.abs(there[i : i + 512, None] - here[None, :]) <= width
-                at, cos = _best(q[i : i + 512], x, ids, k + 1, near)
+                at, cos = _best(q[i : i + 512], x, ids, k + 1 + SPARE, near)
                 keep = np.isfinite(cos).ravel()
                 parts.append((np.repeat(names[i : i + 512], at.shape[1])[keep], ids[at.ravel()[keep]], cos.ravel()[keep]))
             out = {c: np.concatenate([p[j] for p in parts]) for j, c in enumerate(out)}
@@ -194,8 +204,16 @@ def nearest(table: DataFrame, k: int = 5, every: int = 50, curves: int = CURVES,
     hits = held.groupBy(*keys).cogroup(sought.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(search, "query long, found long, cos double")
     hits = hits.groupBy("query", "found").agg(F.max("cos").alias("cos"))
     best = Window.partitionBy("query").orderBy(F.desc("cos"), F.asc("found"))
-    hits = hits.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    hits = hits.join(vectors.select("vid", "ids"), F.col("found") == F.col("vid")).select("query", "cos", F.explode("ids").alias("id"))
+    hits = hits.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1 + SPARE).select("query", "found")
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            cos = (_unit(_matrix(b.column(2), dim)) * _unit(_matrix(b.column(3), dim))).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cos), b.column(1)], names=["query", "cos", "ids"])
+
+    pairs = hits.join(vectors, F.col("found") == F.col("vid")).select("query", "ids", "embedding")
+    pairs = pairs.join(vectors.select("vid", F.col("embedding").alias("asked")), F.col("query") == F.col("vid")).select("query", "ids", "embedding", "asked")
+    hits = pairs.mapInArrow(cosines, "query long, cos double, ids array<long>").select("query", "cos", F.explode("ids").alias("id"))
     lists = hits.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("cos")).alias("far"), "id"))).alias("near"))
     others = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
     result = asked.join(lists, F.col("vid") == F.col("query")).select("query_id", F.posexplode(others).alias("at", "hit"))

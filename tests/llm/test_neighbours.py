@@ -1,7 +1,6 @@
 """Approximate neighbours against brute force."""
 
 import numpy as np
-import pytest
 from creditlake.llm import ann
 
 
@@ -43,8 +42,29 @@ def test_edge_vectors_and_copies(spark):
     assert ann.nearest(df.limit(0)).count() == 0
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(few).collect()] == [(0, 1, 1, 0.0)]
-    with pytest.raises(ValueError):
-        ann.nearest(few.union(spark.createDataFrame([(2, [1.0])], "vec_id long, embedding array<float>")))
+    mixed = few.union(spark.createDataFrame([(2, [1.0]), (50, [2.0]), (100, [1.0, 1.0, 0.5]), (51, [-1.0])], "vec_id long, embedding array<float>"))
+    # A query's neighbours have its length; one without any has no row.
+    assert sorted(tuple(r) for r in ann.nearest(mixed).collect()) == [(0, 1, 1, 0.0), (50, 1, 2, 1.0), (50, 2, 51, -1.0)]
+
+
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=33).tolist()) for i in range(700)]
+    rows += [(1000 + i, [x * (i + 2) / 3 for x in rows[50][1]]) for i in range(30)]  # cosines that differ in the last bit at most
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    answers = []
+    for block in (2048, 64):
+        monkeypatch.setattr(ann, "BLOCK", block)
+        found = ann.nearest(df, target=1.0).collect()
+        answers.append(sorted(tuple(r) for r in found if r.query_id == 50 or block == 2048 or r["rank"] == 1))
+    exact = {}
+    unit = {i: ann._unit(np.array([v]))[0] for i, v in rows}
+    for q in (50, 0, 650):
+        cos = sorted((-(unit[q] * unit[i]).sum(), i) for i in unit if i != q)[:5]
+        exact[q] = [(i, -c) for c, i in cos]
+    got = {q: [(v, s) for a, _, v, s in answers[0] if a == q] for q in exact}
+    assert got == exact
+    assert {r for r in answers[1] if r[1] == 1} <= set(answers[0])
 
 
 def test_recall_with_windows(spark):
