@@ -17,18 +17,19 @@ from ..settings import stage
 from .skew import hot_weights, lookup_join
 
 PAIRS, SECONDS, TIMED = "_pairs", "_seconds", "_timed"
+#: Event types that may become columns, unless the caller says otherwise.
 MAX_TYPES = 1_000
 
 
-def prior_event_types(creditos: DataFrame, eventos: DataFrame) -> list[str | None]:
+def prior_event_types(creditos: DataFrame, eventos: DataFrame, most: int = MAX_TYPES) -> list[str | None]:
     """The event types that occur before at least one loan of their client, sorted, None last.
 
     A pass of its own over the events, one row per client after the partial aggregate; callers that
     know the types should pass them instead.
     """
-    types = [r[0] for r in eventos.select("tipo_evento").distinct().limit(MAX_TYPES + 1).collect()]
-    if len(types) > MAX_TYPES:
-        raise ValueError(f"more than {MAX_TYPES} event types: pass event_types to choose the columns")
+    types = [r[0] for r in eventos.select("tipo_evento").distinct().limit(most + 1).collect()]
+    if len(types) > most:
+        raise ValueError(f"more than {most} event types: pass event_types to choose the columns")
     if not types:
         return []
     loans = creditos.select("cliente_id", "fecha_desembolso")
@@ -101,7 +102,7 @@ def prior_event_counts(
 
 
 def event_features_py(
-    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str] | None = None, hot: Mapping | Sequence | None = None
+    creditos: DataFrame, eventos: DataFrame, event_types: Sequence[str] | None = None, hot: Mapping | Sequence | None = None, most: int = MAX_TYPES
 ) -> DataFrame:
     """credito_id, prev_evento_<type>..., session total and mean (unrounded).
 
@@ -110,9 +111,9 @@ def event_features_py(
     """
     if event_types is None:
         daily = daily_events(eventos)
-        types = [r[0] for r in daily.select("tipo_evento").where("tipo_evento IS NOT NULL").distinct().limit(MAX_TYPES + 1).collect()]
-        if len(types) > MAX_TYPES:
-            raise ValueError(f"more than {MAX_TYPES} event types: pass event_types to choose the columns")
+        types = [r[0] for r in daily.select("tipo_evento").where("tipo_evento IS NOT NULL").distinct().limit(most + 1).collect()]
+        if len(types) > most:
+            raise ValueError(f"more than {most} event types: pass event_types to choose the columns")
         types = sorted(types)
         counts = stage(prior_event_counts(creditos, daily, types, hot), "prior_events")
         seen = counts.agg(F.count("*").alias("rows"), *[F.max(f"n_{i}").alias(f"n_{i}") for i in range(len(types))]).first()

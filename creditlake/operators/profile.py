@@ -58,11 +58,14 @@ def histogram(df: DataFrame, columns: Mapping[str, tuple[Column, int]]) -> DataF
     return edges.join(counts, ["variable", "bin"], "left").fillna(0, ["n"])
 
 
-def box_stats(df: DataFrame, label: str, column: str) -> DataFrame:
-    """Quartiles, whiskers (outermost values within 1.5 IQR) and outlier count per label."""
-    labels = [r[0] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().limit(101).collect()]
-    if len(labels) > 100:
-        raise ValueError(f"{label} has more than 100 values")
+def box_stats(df: DataFrame, label: str, column: str, most_labels: int = 100) -> DataFrame:
+    """Quartiles, whiskers (outermost values within 1.5 IQR) and outlier count per label.
+
+    The labels are on the driver; more than `most_labels` are an error.
+    """
+    labels = [r[0] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().limit(most_labels + 1).collect()]
+    if len(labels) > most_labels:
+        raise ValueError(f"{label} has more than {most_labels} values")
     x = F.col(column)
     quartiles = exact_quantiles(df, {str(v): F.when(F.col(label) == v, x) for v in labels}, [0.25, 0.5, 0.75])
     q1 = q2 = q3 = F.lit(None).cast("double")

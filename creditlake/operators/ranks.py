@@ -274,12 +274,15 @@ def with_ntile(df: DataFrame, k: int, value: str, tie_break: Column, name: str =
 
 
 def stratified_split(
-    df: DataFrame, label: str, hash_value: Column, tie_break: Column, test_share: float = 0.2, name: str = "split"
+    df: DataFrame, label: str, hash_value: Column, tie_break: Column, test_share: float = 0.2, name: str = "split", most_labels: int = 100
 ) -> DataFrame:
-    """Adds `split`: inside each label the first round(test_share·n) rows by hash are 'test'."""
-    labels = [r[0] for r in df.groupBy(label).count().limit(101).collect()]
-    if len(labels) > 100:
-        raise ValueError(f"{label} has more than 100 values and cannot be a stratum")
+    """Adds `split`: inside each label the first round(test_share·n) rows by hash are 'test'.
+
+    The labels are on the driver; more than `most_labels` are an error.
+    """
+    labels = [r[0] for r in df.groupBy(label).count().limit(most_labels + 1).collect()]
+    if len(labels) > most_labels:
+        raise ValueError(f"{label} has more than {most_labels} values and cannot be a stratum")
     groups = {str(i): F.col(label).eqNullSafe(F.lit(x)) for i, x in enumerate(labels)}
 
     def first_train(n: int) -> list[int]:

@@ -3,12 +3,44 @@
 from __future__ import annotations
 
 from .adapters import _INPUTS, CUTOFF, RAW_SQL
-from .operators.prior_events import SQL_EVENT_COLUMNS
-from .operators.profile import NOT_CORRELATED
-from .plans.abt import SQL_COLUMNS
-from .plans.knowledge import FALLBACK
-from .plans.star import CLIENT_COLUMNS, FACT_COLUMNS
-from .sources.schemas import EVENT_TYPES, TYPE_LIMITS
+
+# Columns and limits that results must have, written here and not taken from the code that is checked.
+SQL_EVENT_COLUMNS = {
+    "login": "prev_evento_login",
+    "simulacion_credito": "prev_evento_simulacion",
+    "pago_fallido": "prev_evento_pago_fallido",
+    "pago_exitoso": "prev_evento_pago_exitoso",
+    "solicitud_soporte": "prev_evento_soporte",
+}
+NOT_CORRELATED = """
+    cliente_id credito_id pago_id mes_desembolso dia_semana_desembolso
+""".split()
+SQL_COLUMNS = """
+    credito_id cliente_id fecha_desembolso producto_credito monto_credito plazo_meses tasa_interes_mensual
+    valor_cuota_pactada canal_originacion score_interno_originacion relacion_cuota_ingreso politica_aprobacion
+    fecha_registro departamento ciudad edad genero estrato nivel_educativo ocupacion ingreso_mensual_estimado
+    canal_adquisicion score_externo tiene_producto_ahorro numero_dependientes dispositivo_principal
+    antiguedad_cliente_dias mes_desembolso dia_semana_desembolso prev_evento_login prev_evento_simulacion
+    prev_evento_pago_fallido prev_evento_pago_exitoso prev_evento_soporte prev_evento_sesion_seg_tot
+    prev_evento_sesion_seg_avg es_moroso
+""".split()
+CLIENT_COLUMNS = """
+    cliente_id fecha_registro departamento ciudad edad genero estrato nivel_educativo ocupacion ingreso_mensual_estimado
+    ingreso_mensual_bi flag_ingreso canal_adquisicion score_externo tiene_producto_ahorro numero_dependientes
+    dispositivo_principal
+""".split()
+FACT_COLUMNS = """
+    credito_id cliente_id fecha_desembolso producto_credito monto_credito plazo_meses tasa_interes_mensual
+    valor_cuota_pactada canal_originacion score_interno_originacion relacion_cuota_ingreso politica_aprobacion
+    estado_credito_operativo es_moroso probabilidad_mora prediccion_mora
+""".split()
+TYPE_LIMITS = {
+    "clientes": {"cliente_id": 50, "departamento": 100, "ciudad": 100, "genero": 10, "nivel_educativo": 100, "ocupacion": 100, "ingreso_mensual_estimado": (15, 2), "canal_adquisicion": 50, "score_externo": (10, 2), "dispositivo_principal": 50},
+    "creditos": {"credito_id": 50, "cliente_id": 50, "producto_credito": 100, "monto_credito": (15, 2), "tasa_interes_mensual": (6, 4), "valor_cuota_pactada": (15, 2), "canal_originacion": 50, "relacion_cuota_ingreso": (8, 4), "politica_aprobacion": 50, "estado_credito_operativo": 50},
+    "pagos": {"pago_id": 50, "credito_id": 50, "cliente_id": 50, "valor_pagado": (15, 2), "estado_pago": 50},
+    "eventos": {"evento_id": 50, "cliente_id": 50, "tipo_evento": 100, "resultado_evento": 100},
+}
+FALLBACK = "No se encontró información relevante en los datos de la corporación."
 
 # --- common table expressions ------------------------------------------------------------------
 
