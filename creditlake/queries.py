@@ -796,13 +796,20 @@ def hot_client_join(spark, sf_dir):
 @query
 def chunk_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    parts = chunks.chunk_documents(docs.withColumn("whole", F.col("text")), "text")
-    first, last = F.min_by("text", "chunk"), F.max_by("text", "chunk")
-    whole = F.first("whole")
-    return parts.groupBy("doc_id").agg(
-        F.when(F.length(whole) <= 1000, F.count(F.lit(1)) == 1).otherwise(F.max(F.length("text")) <= 800).alias("tamano_correcto"),
-        F.startswith(F.ltrim(whole), F.trim(first)).alias("empieza"),
-        F.endswith(F.rtrim(whole), F.trim(last)).alias("termina"),
+    return _chunk_facts(chunks.chunk_documents(docs.withColumn("whole", F.col("text")), "text"))
+
+
+def _chunk_facts(parts: DataFrame) -> DataFrame:
+    """Each chunk is compared with its document where it was cut, so that no text is shuffled or sorted."""
+    whole, trimmed = F.col("whole"), F.trim("text")
+    compared = parts.select(
+        "doc_id", "chunk", F.length("text").alias("size"), (F.length(whole) <= 1000).alias("short"),
+        F.startswith(F.ltrim(whole), trimmed).alias("starts"), F.endswith(F.rtrim(whole), trimmed).alias("ends"),
+    )
+    return compared.groupBy("doc_id").agg(
+        F.when(F.first("short"), F.count(F.lit(1)) == 1).otherwise(F.max("size") <= 800).alias("tamano_correcto"),
+        F.min_by("starts", "chunk").alias("empieza"),
+        F.max_by("ends", "chunk").alias("termina"),
     )
 
 

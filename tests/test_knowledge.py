@@ -210,3 +210,14 @@ def test_cells_prune_clustered_data(spark, monkeypatch):
     key = lambda df: {(r["query_id"], r["vec_id"]) for r in df.collect()}
     exact, approx = key(vectors.knn_exact(corpus, asks)), key(vectors.knn_approx(corpus, asks))
     assert len(exact & approx) / len(exact) >= 0.9 and max(shares) <= 0.1
+
+
+def test_chunks_are_compared_without_a_shuffle_of_texts(spark, tmp_path):
+    from creditlake.queries import QUERIES
+
+    texts = [(1, "corto"), (2, "  una frase de prueba. " * 400), (3, "x" * 5_000), (4, None), (5, "\n\n".join(["linea " * 100] * 30)), (6, "")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    facts = QUERIES["chunk_documents"](spark, str(tmp_path))
+    assert sorted(facts.collect()) == [(i, True, True, True) for i in (1, 2, 3, 5, 6)]
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "min_by(starts" in plan and "SortAggregate" not in plan  # flags and numbers are hashed, texts would be sorted
