@@ -167,3 +167,30 @@ def test_many_categories_and_nulls_are_learnt(spark, monkeypatch):
     assert roc_auc(model.score_book(fitted, df)) > 0.97
     unknown = spark.createDataFrame([("x", None, None), ("y", "nunca visto", 5.0)], "credito_id string, ciudad string, monto_credito double")
     assert all(0 < r["probabilidad_mora"] < 1 for r in model.score_book(fitted, unknown).collect())
+
+
+def test_bins_are_blocks_and_their_leaves_those_of_the_values(spark, monkeypatch):
+    """Bins of many rows are one row of the written table; a tree sends bins where it sends the values they hold."""
+    kept = []
+    plain = boosting.stage
+    monkeypatch.setattr(boosting, "stage", lambda df, name, **o: kept.append((name, plain(df, name, **o))) or kept[-1][1])
+    df = spark.range(50_000).selectExpr("IF(id % 11 = 0, NULL, CAST(id % 20 AS DOUBLE)) AS a", "CAST(id % 7 AS DOUBLE) AS b", "CAST(id % 20 > 11 OR id % 7 = 0 AS DOUBLE) AS y", "1.0D AS w")
+    _, trees = boosting.boost(df.coalesce(2), ["a", "b"], "y", "w", trees=1, rate=0.3, depth=3, leaves=8, least_rows=5)
+    blocks = next(found for name, found in kept if name == "bins").collect()
+    assert len(blocks) < 8 and sum(len(r["bins"]) for r in blocks) == 100_000 and sum(len(r["y"]) for r in blocks) == 400_000
+    values = np.array([[np.nan, *range(20)], [0.0] * 21]).T
+    as_bins = np.vstack([np.array([boosting.BINS, *range(20)], np.uint8), np.zeros(21, np.uint8)])
+    assert trees[0].leaf_of_bins(as_bins, boosting.BINS).tolist() == trees[0].leaf_of(values, np.isnan(values)).tolist()
+
+
+def test_means_over_the_other_folds_are_columns_of_the_category(spark, monkeypatch):
+    kept = {}
+    plain = model.stage
+    monkeypatch.setattr(model, "stage", lambda df, name, **o: kept.setdefault(name + str(len(kept)), plain(df, name, **o)))
+    df = spark.range(3_000).selectExpr("CAST(id AS STRING) AS credito_id", "CAST(id % 3 AS STRING) AS ciudad", "CAST(id % 97 AS DOUBLE) AS edad", "CAST(id % 5 = 0 AS INT) AS es_moroso")
+    model.train(df, trees=1)
+    for r in kept["categories1"].collect():
+        for i in range(model.FOLDS):
+            n, positive = (sum(r["folds"][f][c] for f in r["folds"] if f != i) for c in ("n", "positivos"))
+            assert r["media"][i] == (pytest.approx((positive + model.SMOOTHING * 0.2) / (n + model.SMOOTHING)) if i in r["folds"] else None)
+    assert {r["value"] for r in kept["categories1"].collect()} == {"0", "1", "2"}
