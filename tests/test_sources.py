@@ -151,3 +151,13 @@ def test_base_table_types_from_csv(spark, tmp_path):
     types = dict(readers.read_abt(spark, str(tmp_path / "abt.csv")).dtypes)
     assert types["es_moroso"] == "bigint" and types["prev_evento_login"] == "double" and types["edad"] == "int"
     assert types["monto_credito"] == "double" and types["otra"] == types["credito_id"] == "string"
+
+
+def test_text_of_floats_is_worked_out_by_one_expression(spark):
+    """However many float columns there are, their order and types, so that the code for a row stays short."""
+    df = spark.range(3).selectExpr("CAST(id AS DOUBLE) + 0.5 AS a", "id", "CAST(id AS FLOAT) AS b", "id = 1 AS t", "CAST(id AS DECIMAL(5, 2)) AS c", *[f"IF(id = 1, 'NaN', id * 1e17) AS d{i}" for i in range(5)])
+    df = df.withColumns({f"d{i}": F.col(f"d{i}").cast("double") for i in range(5)})
+    text = bi_export.localised(df)
+    assert text.columns == df.columns and {t for _, t in text.dtypes} == {"string"}
+    assert [tuple(r) for r in text.collect()] == [("0,5", "0", "0,0", "False", "0,0", *["0,0"] * 5), ("1,5", "1", "1,0", "True", "1,0", *[None] * 5), ("2,5", "2", "2,0", "False", "2,0", *["2e+17"] * 5)]
+    assert text._jdf.queryExecution().optimizedPlan().toString().count("lpad") == 1
