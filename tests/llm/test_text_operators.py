@@ -365,3 +365,12 @@ def test_one_telephone_number_has_one_pseudonym():
     digits = {re.sub(r"\D", "", pii.pseudonymise(t)[0]) for t in ("+491701234567", "+49 170 1234567", "+49-170-1234567")}
     assert len(digits) == 1 and digits.pop().startswith("49")
     assert pii.pseudonymise("+1 202 555 0142")[0].startswith("+1 ")
+
+
+def test_words_and_their_signs_are_asked_for_apart():
+    """Ids of distinct pieces in their order, as the library gives them, whatever their letters and last signs."""
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    pieces = ["casa", "casa,", "casa.)", "año", "año!", "don't", "don't.", "it's'", "a.b.", "...", "x1;", "ﬁn,", "日本。", "日本,", "naïve?!", "º.", "×,", "é,"]
+    alone = [np.array(encoder.tok.encode(" " + p, add_special_tokens=False).ids, encoder.kind).tobytes() for p in pieces]
+    assert encoder._new(pieces) == alone and encoder._bytes(pieces) == alone
+    assert {"casa", "año", "don't."} <= set(encoder.inner) and {",", ".)", "!"} <= set(encoder.first)
