@@ -194,3 +194,68 @@ def test_means_over_the_other_folds_are_columns_of_the_category(spark, monkeypat
             n, positive = (sum(r["folds"][f][c] for f in r["folds"] if f != i) for c in ("n", "positivos"))
             assert r["media"][i] == (pytest.approx((positive + model.SMOOTHING * 0.2) / (n + model.SMOOTHING)) if i in r["folds"] else None)
     assert {r["value"] for r in kept["categories1"].collect()} == {"0", "1", "2"}
+
+
+def test_codes_give_back_bins_and_histograms_of_each_feature(spark):
+    """Features share codes of a bounded number of values; sums of a code hold those of its features, nulls last."""
+    rng = np.random.default_rng(0)
+    sizes = [65, 5, 255, 2, 65, 13, 4, 65]
+    codes = boosting.Codes.of(sizes)
+    assert sorted(f for g in codes.groups for f in g) == [*range(8)] and len(codes.groups) < 6 and max(codes.cells) <= boosting.CELLS
+    bins = np.stack([rng.integers(0, n, 1000) for n in sizes])
+    written = codes.encode(bins)
+    assert written.dtype == np.uint16 and all((codes.bins(written)[f] == bins[f]).all() for f in range(8))
+    node, weight = rng.integers(0, 3, 1000), rng.random(1000)
+    sums = [np.stack([np.bincount(node * n + c, v, 3 * n) for v in (weight, None)]) for c, n in zip(written, codes.cells)]
+    found = codes.by_feature(sums, 254)
+    assert found.shape == (3, 8, 255, 2)
+    for f, n in enumerate(sizes):
+        for i in range(3):
+            own = np.bincount(bins[f][node == i], weight[node == i], n)
+            assert np.allclose(found[i, f, : n - 1, 0], own[:-1]) and np.isclose(found[i, f, -1, 0], own[-1]) and found[i, f, :, 1].sum() == (node == i).sum()
+
+
+def test_only_the_smaller_node_below_a_split_is_added_up(spark, monkeypatch):
+    asked = []
+    plain = boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda state, tasks, recent, tree, nodes, *rest: asked.append([*nodes]) or plain(state, tasks, recent, tree, nodes, *rest))
+    df = spark.range(1_000).selectExpr("CAST(id % 20 AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b", "CAST(id % 20 > 11 AND id % 7 > 1 AS DOUBLE) AS y", "1.0D AS w")
+    _, trees = boosting.boost(df, ["a", "b"], "y", "w", trees=1, rate=0.3, depth=3, leaves=8, least_rows=5)
+    assert asked[0] == [1] and all(len({i // 2 for i in level}) == len(level) for level in asked[1:])
+    inner = [r for r in boosting.node_rows(trees, ["a", "b"]) if r[2] is not None]
+    leaves = {r[1]: r[6] for r in boosting.node_rows(trees, ["a", "b"])}
+    assert inner and all(leaves[2 * r[1]] + leaves[2 * r[1] + 1] == r[6] for r in inner)
+
+
+def test_edges_of_many_values_are_nearly_exact_quantiles(spark, monkeypatch):
+    """Thinned in short steps, on four tasks; few values are exact however many rows they have."""
+    monkeypatch.setattr(boosting, "POINTS", 1_000)
+    monkeypatch.setattr(boosting, "SORTED", 5_000)
+    rng = np.random.default_rng(1)
+    many, few = rng.normal(size=40_000), rng.integers(0, 3, 40_000).astype(float)
+    many[:100] = np.nan
+    parts = [boosting._as_batch(x=np.stack([many[i : i + 2_000], few[i : i + 2_000], np.full(2_000, np.nan)]), y=np.full(2_000, 2.0 if i else -1.0)) for i in range(0, 40_000, 2_000)]
+    blocks = spark.createDataFrame([(bytes(b["x"][0].as_py()), bytes(b["y"][0].as_py())) for b in parts], "x binary, y binary").repartition(4)
+    edges, positive, every = boosting._edges(blocks, 3, 64)
+    rank = np.searchsorted(np.sort(many[100:]), edges[0], "right") / 39_900
+    assert len(edges[0]) == 64 and np.abs(rank - np.arange(1, 65) / 64).max() < 2 / 1_000 + 1e-9 and set(edges[0]) <= set(many)
+    assert edges[1].tolist() == [0.0, 1.0, 2.0] and edges[2].tolist() == [0.0] and (positive, every) == (76_000.0, 78_000.0)
+
+
+def test_scores_are_those_of_the_thresholds(spark):
+    """Trees score by bins between their thresholds; the same as by comparing the values, at the thresholds and beyond too."""
+    trees = []
+    for k in range(3):
+        t = boosting.Tree(2)
+        t.feature[1:4], t.threshold[1:4], t.nulls_left[1:4] = [0, 1, 0], [k, np.inf, k - 1.5], [k == 1, False, True]
+        t.value[:] = np.arange(8) / 10 * (k + 1)
+        t.feature[3 if k else 2] = -1
+        trees.append(t)
+    values = [(a, b) for a in (None, -2.0, -1.5, 0.0, 0.5, 1.0, 2.0, float("inf")) for b in (None, 7.0, float("inf"))]
+    df = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "i int, a double, b double")
+    x = np.array([[np.nan if v is None else v for v in r] for r in values])
+    raw = 0.25
+    for t in trees:
+        raw = raw + t.value[t.leaf_of(x, np.isnan(x))]
+    found = df.select("i", boosting.probability(0.25, trees, [F.col("a"), F.col("b")]).alias("p")).orderBy("i").collect()
+    assert [r["p"] for r in found] == (1 / (1 + np.exp(-raw))).tolist()
