@@ -259,3 +259,34 @@ def test_scores_are_those_of_the_thresholds(spark):
         raw = raw + t.value[t.leaf_of(x, np.isnan(x))]
     found = df.select("i", boosting.probability(0.25, trees, [F.col("a"), F.col("b")]).alias("p")).orderBy("i").collect()
     assert [r["p"] for r in found] == (1 / (1 + np.exp(-raw))).tolist()
+
+
+def test_expected_splits_save_passes_and_change_no_tree(spark, monkeypatch):
+    """Trees grown from what is expected of them, from nothing, and from a wrong guess are the same."""
+    passes = []
+    plain = boosting._histograms
+    monkeypatch.setattr(boosting, "_histograms", lambda *a: passes.append(len(a[4])) or plain(*a))
+    df = spark.range(6_000).selectExpr(
+        "CAST(id % 97 AS DOUBLE) AS a", "IF(id % 9 = 0, NULL, CAST(id % 31 AS DOUBLE)) AS b", "CAST(id % 13 AS DOUBLE) AS c",
+        "CAST(id * 7919 % 1000 < 5 * (id % 97) + 10 * (id % 31) AS DOUBLE) AS y", "1.0D AS w",
+    )
+
+    def grown() -> tuple[list[tuple], int]:
+        passes.clear()
+        _, trees = boosting.boost(df, ["a", "b", "c"], "y", "w", trees=6, rate=0.1, depth=4, leaves=15, least_rows=30)
+        return boosting.node_rows(trees, ["a", "b", "c"]), len(passes)
+
+    def wrong(full, *_):
+        guess = boosting.Tree(full.depth)
+        guess.feature[1:4], guess.bin[1:4] = 2, [6, 2, 9]
+        return guess
+
+    expected, fewer = grown()
+    monkeypatch.setattr(boosting, "_expected", lambda full, *_: boosting.Tree(full.depth))
+    without, most = grown()
+    monkeypatch.setattr(boosting, "_expected", wrong)
+    misled, also = grown()
+    assert most == 4 * 6 and fewer < most and also <= most
+    for other in (expected, misled):
+        assert [n[:5] + n[6:7] for n in other] == [n[:5] + n[6:7] for n in without]
+        assert np.allclose([n[5] for n in other], [n[5] for n in without])
