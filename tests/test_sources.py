@@ -161,3 +161,19 @@ def test_text_of_floats_is_worked_out_by_one_expression(spark):
     assert text.columns == df.columns and {t for _, t in text.dtypes} == {"string"}
     assert [tuple(r) for r in text.collect()] == [("0,5", "0", "0,0", "False", "0,0", *["0,0"] * 5), ("1,5", "1", "1,0", "True", "1,0", *[None] * 5), ("2,5", "2", "2,0", "False", "2,0", *["2e+17"] * 5)]
     assert text._jdf.queryExecution().optimizedPlan().toString().count("lpad") == 1
+
+
+def test_first_upsert_joins_nothing(spark, tmp_path, rows_of, monkeypatch):
+    """Into a table without files go the last rows by key, absent columns null, without the join of a merge."""
+    from creditlake.sources import upsert
+
+    merges = []
+    monkeypatch.setattr(upsert, "merge_rows", lambda *a: merges.append(a) or merge_rows(*a))
+    schema = spark.createDataFrame([], "k bigint, a string, b double").schema
+    table = KeyedTable(spark, str(tmp_path / "t"), schema, ("k",), 10)
+    source = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (25, 1, None), (None, 1, "n")], "k bigint, at int, a string")
+    assert table.read().count() == 0
+    assert table.upsert(source, ["at"]) == 3 and not merges
+    assert sorted(rows_of(table.read()), key=str) == sorted([(1, "y", None), (25, None, None), (None, "n", None)], key=str)
+    assert table.upsert(spark.createDataFrame([(25, 2.5)], "k bigint, b double")) == 1 and len(merges) == 1
+    assert (25, None, 2.5) in rows_of(table.read()) and table.read().count() == 3
